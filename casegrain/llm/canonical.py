@@ -181,13 +181,17 @@ class Names:
         best = WORST
         whole = " ".join(low)
         tries = [(0, whole, None)]
+        tries += [(1, whole[: -len(e)], None) for e in ("s", "es") if whole.endswith(e) and len(whole) > len(e) + 4]
         parts = [plain(p) for p in shown.split(",")]
         if len(parts) > 1:
             tries += [(1, " ".join(parts[i:] + parts[:i]), None) for i in range(1, len(parts))]
         for n in range(min(len(low), self.longest + 1), 0, -1):
             for i in range(len(low) - n + 1):
                 if n < len(low):
-                    tries.append((2, " ".join(low[i : i + n]), words[i : i + n]))
+                    run = " ".join(low[i : i + n])
+                    tries.append((2, run, words[i : i + n]))
+                    if run.endswith("es") and len(run) > 6:
+                        tries.append((2, run[:-2], None))
         for i in range(len(parts) - 1):
             a, b = parts[i].split(), parts[i + 1].split()
             for x in range(1, min(len(a), self.longest) + 1):
@@ -232,6 +236,8 @@ def map_values(values: DataFrame, reference: DataFrame, broadcast_entries: int =
     distinct = values.select("field", "value").where(F.col("value").isNotNull() & (F.trim(F.regexp_replace("value", r"(?U)[\s\p{Cf}]+", "")) != "")).distinct()
     reference = reference.select("field", "name", F.col("entry").cast("long").alias("entry")).where(F.col("name").isNotNull()).distinct()
     n = reference.count()
+    spark = values.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if n <= broadcast_entries:
         rows = sorted((r["field"], r["name"], r["entry"]) for r in reference.collect())
 
@@ -241,7 +247,8 @@ def map_values(values: DataFrame, reference: DataFrame, broadcast_entries: int =
                 got = [names[f].judge(v) if f in names else WORST for f, v in zip(b["field"], b["value"], strict=True)]
                 yield b.assign(entry=[g[3] for g in got])
 
-        return distinct.mapInPandas(judge, "field string, value string, entry long")
+        # Few bytes but much work: adaptive execution would put all values into one task, a fixed number of partitions stays.
+        return distinct.repartition(tasks, "field", "value").mapInPandas(judge, "field string, value string, entry long")
 
     shards = -(-n // shard_entries)
     buckets = max(1, -(-distinct.count() // BUCKET_VALUES))

@@ -24,7 +24,7 @@ LINKS_SQL = """
 links AS (
   SELECT DISTINCT 'case' AS graph, case_a_uid AS a, case_b_uid AS b FROM pairs
   UNION SELECT DISTINCT 'image', pair_id[1], pair_id[2] FROM pair_descriptions),
-both AS (SELECT graph, a, b FROM links WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT graph, b, a FROM links WHERE a IS NOT NULL AND b IS NOT NULL),
+ways AS (SELECT graph, a, b FROM links WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT graph, b, a FROM links WHERE a IS NOT NULL AND b IS NOT NULL),
 members AS (SELECT graph, a AS member FROM links WHERE a IS NOT NULL UNION SELECT graph, b FROM links WHERE b IS NOT NULL)
 """
 
@@ -36,7 +36,7 @@ label(graph, member, group_id) USING KEY (graph, member) AS (
   SELECT graph, member, member FROM members
   UNION
   (SELECT b.graph, b.b, min(l.group_id)
-   FROM label l JOIN both b ON b.graph = l.graph AND b.a = l.member JOIN recurring.label r ON r.graph = b.graph AND r.member = b.b
+   FROM label l JOIN ways b ON b.graph = l.graph AND b.a = l.member JOIN recurring.label r ON r.graph = b.graph AND r.member = b.b
    WHERE l.group_id < r.group_id GROUP BY ALL))
 SELECT graph, member, group_id FROM label
 """

@@ -168,6 +168,7 @@ def count_members(values: DataFrame, column: str = "value") -> dict[str, int]:
 WORD = re.compile(r"[^\W\d_]+")
 
 
+@lru_cache(None)
 def _script(ch: str) -> str:
     return ud.name(ch, "?").split(" ", 1)[0]
 
@@ -187,20 +188,28 @@ class Rewriter:
         for a, b in self.foreign.items():
             self.foreign_auto.add_word(a, (1, b))
         self.foreign_auto.make_automaton()
-
-    @staticmethod
-    def _greedy(auto: ahocorasick.Automaton, text: str, keep: set[int] = frozenset()) -> str:
-        out, at = [], 0
-        for end, (n, to) in auto.iter_long(text):
-            start = end - n + 1
-            if start not in keep:
-                out += (text[at:start], to)
-                at = end + 1
+        # The last character of a pattern is never ASCII nor a blank, and no pattern holds a blank: only pieces between blanks
+        # with one of these characters can hold a match.
+        self.triggers = frozenset(a[-1] for a in table)
+        self.pieces = re.compile(f"[{''.join(map(re.escape, sorted(self.triggers)))}]") if table else None
+
+    def _greedy(self, auto: ahocorasick.Automaton, text: str, keep: set[int] = frozenset()) -> str:
+        out, at, done = [], 0, 0
+        for m in self.pieces.finditer(text):
+            if m.start() < done:
+                continue
+            base, done = text.rfind(" ", 0, m.start()) + 1, text.find(" ", m.start())
+            done = done if done >= 0 else len(text)
+            for end, (n, to) in auto.iter_long(text[base:done]):
+                start = base + end - n + 1
+                if start not in keep:
+                    out += (text[at:start], to)
+                    at = base + end + 1
         return "".join([*out, text[at:]]) if out else text
 
     def _kept(self, text: str) -> set[int]:
         """Offsets of look-alike letters that stand for themselves."""
-        words = [(m.start(), m.group()) for m in WORD.finditer(text)]
+        words = [(m.start(), m.group()) for m in WORD.finditer(text) if not m.group().isascii()]
         certain = set()
         for _, w in words:
             scripts = {_script(c) for c in w}
@@ -222,12 +231,12 @@ class Rewriter:
 
     def __call__(self, text: str | None) -> str | None:
         """Null stays null. Ends because every round shortens the text or replaces members by representatives only."""
-        if text is None or text.isascii():
+        if text is None or text.isascii() or self.triggers.isdisjoint(text):
             return text
         for _ in range(len(text) + 2):
             was = text
             text = self._greedy(self.auto, text)
-            if any(c in self.foreign for c in text):
+            if not self.foreign.keys().isdisjoint(text):
                 text = self._greedy(self.foreign_auto, text, self._kept(text))
             if text == was:
                 break
