@@ -69,6 +69,16 @@ class Tables:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in enough partitions for work that is heavy per byte.
+
+    A scan is cut by bytes, so a table of a few hundred megabytes may give fewer tasks than there are cores. Only such a
+    table is redistributed (by ``keys``); one with plenty of partitions is read where it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 3 * cores else df.repartition(4 * cores, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
