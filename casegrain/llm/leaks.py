@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrain.llm.lookalikes import representatives, rewriter
+from casegrain.session import spread
 
 GRAM, WINDOW = 4, 3
 LEAST_WORDS = 25
@@ -242,7 +243,7 @@ def find_leaks(
                 out = [(d, *x) for d, t in zip(b["doc_id"], b["text"], strict=True) for x in _find_in(hash_words(words(t)), side, gram, window, least_words)]
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "shared_words", "spanned_words"])
 
-        found = docs.mapInPandas(scan, OUT)
+        found = spread(docs, "doc_id").mapInPandas(scan, OUT)
     else:
         found = _joined(docs, tests, gram, window, least_words)
     return found.groupBy("doc_id", "item_id").agg(F.max("shared_words").alias("shared_words"), F.max("spanned_words").alias("spanned_words"))

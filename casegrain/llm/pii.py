@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casegrain.session import spread
+
 KINDS = ("name", "email", "phone", "id_number", "address")
 NEAR = 3  # characters between segments that count as neighbours
 WEIGHTS = Path(__file__).with_name("pii_weights.json")
@@ -268,7 +270,7 @@ def find_personal(documents: DataFrame, weights: dict[str, float] | None = None)
             yield pd.DataFrame(out, columns=["doc_id", "start_pos", "end_pos", "kind"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") > 0)
-    return docs.mapInPandas(scan, "doc_id long, start_pos long, end_pos long, kind string")
+    return spread(docs, "doc_id").mapInPandas(scan, "doc_id long, start_pos long, end_pos long, kind string")
 
 
 def replace_personal(documents: DataFrame) -> DataFrame:
