@@ -25,6 +25,7 @@ from casegrain.session import Tables, spread
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 WINDOWS = 192
 MOST_ITEMS = 20_000
+MOST_CAPACITIES = 1_000
 
 
 @lru_cache(2)
@@ -121,8 +122,13 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, tokenizer: str =
     spark = documents.sparkSession
     sizes = Tables(spark, "packing").keep(token_counts(documents, tokenizer), "sizes")
     caps = capacities.select(F.col("capacity_id").cast("long").alias("capacity_id"), F.col("capacity_tokens").cast("long").alias("c")).where("c >= 1").distinct()
+    few = caps.limit(MOST_CAPACITIES + 1).collect()
+    if len(few) > MOST_CAPACITIES:
+        raise ValueError(f"more than {MOST_CAPACITIES} capacities")
+    each = F.array(*[F.struct(F.lit(r["capacity_id"]).alias("capacity_id"), F.lit(r["c"]).alias("c")) for r in sorted(few)])
     pieces = (
-        sizes.crossJoin(F.broadcast(caps))
+        sizes.withColumn("k", F.explode(each) if few else F.explode(F.array().cast("array<struct<capacity_id: bigint, c: bigint>>")))
+        .select("doc_id", "tokens", "k.*")
         .withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr("cast((tokens - 1) div c as int)")))))
         .select("capacity_id", "c", "doc_id", "piece", (F.col("piece") * F.col("c")).alias("token_start"), F.least(F.col("tokens"), (F.col("piece") + 1) * F.col("c")).alias("token_end"))
         .withColumn("n", F.col("token_end") - F.col("token_start"))
