@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The modality buckets in order with the words that select them; the first bucket with a hit wins.
 MODALITY_BUCKETS = {
@@ -42,7 +43,7 @@ def python_title(s: str | None) -> str | None:
     return " ".join(t.split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _any_title(s: pd.Series) -> pd.Series:
     return pd.Series([python_title(x) if isinstance(x, str) else None for x in s], dtype=object)
 

@@ -9,10 +9,12 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casegrain.functions.keys import case_uid, uid_article
 
-LINKS = "struct<status: string, links: array<struct<dst: string, score: string>>>"
+LINK = T.ArrayType(T.StructType([T.StructField("dst", T.StringType()), T.StructField("score", T.StringType())]))
+LINKS = T.StructType([T.StructField("status", T.StringType()), T.StructField("links", LINK)])
 FLAT = r'^\{(?:"(?:PMC)?[0-9]{1,18}[-_][0-9]{1,18}": ?-?(?:0|[1-9][0-9]{0,15})(?:\.[0-9]{0,15}[1-9])?(?:, ?(?="))?)*\}$'
 ENTRY = r'"(?:PMC)?0*([0-9]{1,18})[-_]0*([0-9]{1,18})": ?(-?[0-9.]+)'
 
@@ -76,7 +78,7 @@ def parse_links(c: Column) -> Column:
     parts = F.arrays_zip(F.regexp_extract_all(t, F.lit(ENTRY), 1).alias("a"), F.regexp_extract_all(t, F.lit(ENTRY), 2).alias("b"), F.regexp_extract_all(t, F.lit(ENTRY), 3).alias("s"))
     links = F.transform(parts, lambda x: F.struct(F.concat(x["a"], F.lit("-"), x["b"]).alias("dst"), F.regexp_replace(x["s"], r"^-0$", "0").alias("score")))
     quick = F.struct(F.lit("ok").alias("status"), links.alias("links"))
-    none = F.struct(F.lit("missing").alias("status"), F.array().cast("array<struct<dst: string, score: string>>").alias("links"))
+    none = F.struct(F.lit("missing").alias("status"), F.array().cast(LINK).alias("links"))
     blank = c.isNull() | (t == "")
     return F.when(blank, none).when(flat, quick).otherwise(_any_mapping(F.when(~flat & ~blank, c)))
 
