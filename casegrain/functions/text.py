@@ -28,7 +28,16 @@ MODALITY_BUCKETS = {
         r"mammograph(?:y|ic)?", r"tomograph(?:y|ic)?",
     ],
 }
-BUCKETS = [(name, rf"(?i)\b(?:{'|'.join(words)})\b") for name, words in MODALITY_BUCKETS.items()]
+LETTER = r"[\p{L}\p{N}_]"
+
+
+def bucket_words(name: str) -> str:
+    """The words of a bucket as one alternation; white space is that of Unicode."""
+    return "|".join(MODALITY_BUCKETS[name]).replace(r"\s", r"[\s\p{Z}]")
+
+
+# word boundaries are spelt out: what "\b" takes for a letter depends on the regex engine and its version
+BUCKETS = [(n, rf"(?i)(?<!{LETTER})(?:{bucket_words(n)})(?!{LETTER})") for n in MODALITY_BUCKETS]
 
 
 def collapse(c: Column) -> Column:

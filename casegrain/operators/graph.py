@@ -44,7 +44,8 @@ def indexed_pairs(pairs: DataFrame) -> DataFrame:
 def pair_problems(pairs: DataFrame) -> DataFrame:
     """Rows that break the pair contract, one row per problem."""
     a, b = F.col("case_a_uid"), F.col("case_b_uid")
-    swapped = F.struct(uid_article(b), uid_case(b)) <= F.struct(uid_article(a), uid_case(a))
+    # structs with a null would compare too
+    swapped = a.isNotNull() & b.isNotNull() & (F.struct(uid_article(b), uid_case(b)) <= F.struct(uid_article(a), uid_case(a)))
     checks = F.array_compact(
         F.array(
             F.when(F.col("pair_index").isNull() | (F.col("pair_index") < 0), "bad_index"),

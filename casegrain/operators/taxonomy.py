@@ -50,7 +50,9 @@ class Taxonomy:
         self.categories = spec["categories"]
 
     def _compiled(self, rule: dict) -> re.Pattern:
-        ways = [alias_pattern(normal_phrase(a, self.replacements)) for a in rule.get("aliases", [])] + rule.get("patterns", [])
+        # an alternation takes its first way, so longer aliases come first
+        aliases = sorted({normal_phrase(a, self.replacements) for a in rule.get("aliases", [])}, key=lambda a: (-len(a), a))
+        ways = [alias_pattern(a) for a in aliases] + rule.get("patterns", [])
         return re.compile(rf"(?<!\w)(?:{'|'.join(ways)})(?!\w)")
 
     def hits(self, field: str, text: str) -> list[tuple[int, int, str, str]]:
