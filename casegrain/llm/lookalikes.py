@@ -159,7 +159,8 @@ def count_members(values: DataFrame, column: str = "value") -> dict[str, int]:
                 if s[-1] in there and (n := text.count(s)):
                     total[s] = total.get(s, 0) + n
         total.update((chr(c), int(hist[c])) for c in single if hist[c])
-        yield pd.DataFrame({"member": list(total), "n": list(total.values())}, columns=["member", "n"])
+        if total:
+            yield pd.DataFrame(list(total.items()), columns=["member", "n"])
 
     rows = values.select(column).mapInPandas(tally, "member string, n long").groupBy("member").agg(F.sum("n").alias("n")).collect()
     return {r["member"]: r["n"] for r in rows}

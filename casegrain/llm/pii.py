@@ -133,7 +133,8 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
             if not before or CUE.get(before[-2 if before[-1] == "." and len(before) > 1 else -1].casefold()) != "title":
                 continue
         for i, (s, _) in enumerate(parts):
-            for _, e in parts[i + (len(parts) > 1) : i + 5]:
+            titled = i and CUE.get(text[parts[i - 1][0] : parts[i - 1][1]].casefold()) == "title"
+            for _, e in parts[i + (len(parts) > 1 and not titled) : i + 5]:
                 if not text[s:e].endswith(".") or re.search(rf"[{UPPER}]\.$", text[s:e]):
                     found.add((s, e, "name"))
     return sorted(found)
