@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casegrain.operators.batches import total_index
 from casegrain.operators.constraints import ConfigurationError, IntegrityError
 
 
@@ -117,10 +118,10 @@ def tree_hash(hashes: DataFrame) -> str:
 def row_digest(df: DataFrame, order: list[str]) -> str:
     """A digest of rows in order, without bringing the rows to the driver: canonical rows are hashed where they are, hashes of
     ordered runs are combined."""
-    s = df.orderBy(*order).select(F.sha2(canonical_rows(df), 256).alias("h"), F.monotonically_increasing_id().alias("i"))
-    runs = s.groupBy(F.shiftright("i", 33).alias("part"), F.floor(F.col("i").bitwiseAND(F.lit((1 << 33) - 1)) / 4096).alias("run"))
+    s = total_index(df, order, "__i").select(F.sha2(canonical_rows(df), 256).alias("h"), F.col("__i").alias("i"))
+    runs = s.groupBy(F.floor(F.col("i") / 4096).alias("run"))
     h = hashlib.sha256()
-    for r in runs.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]), ""), 256).alias("h")).orderBy("part", "run").toLocalIterator():
+    for r in runs.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]), ""), 256).alias("h")).orderBy("run").toLocalIterator():
         h.update(r["h"].encode())
     return h.hexdigest()
 
