@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrain.llm.canonical import map_values
+from casegrain.operators.joins import salted_join
 from casegrain.plans.registry import Registry
 from casegrain.session import table
 
@@ -32,7 +33,7 @@ def reference_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = entered_values(spark, sf_dir)
     mapped = map_values(values, reference_names(spark, sf_dir))
-    return values.join(mapped, ["field", "value"]).select("record_index", "field", F.col("entry").alias("term_id")).distinct()
+    return salted_join(values, mapped, ["field", "value"], ["record_index"]).select("record_index", "field", F.col("entry").alias("term_id")).distinct()
 
 
 @R.query("p2_unmatched")
@@ -40,4 +41,5 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that name nothing on the list, with the number of records that hold them."""
     values = entered_values(spark, sf_dir)
     mapped = map_values(values, reference_names(spark, sf_dir)).where(F.col("entry") == -1)
-    return values.join(mapped, ["field", "value"]).groupBy("field", "value").agg(F.countDistinct("record_index").alias("records"))
+    per = values.groupBy("field", "value").agg(F.countDistinct("record_index").alias("records"))
+    return per.join(mapped, ["field", "value"]).select("field", "value", "records")

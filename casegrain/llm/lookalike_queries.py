@@ -21,7 +21,7 @@ def visible_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (
         part("citations", "cited_title", F.col("pair_index"))
-        .unionByName(part("reference_metadata", "title", F.concat_ws("/", "pmc_id", "ref_id")))
+        .unionByName(part("reference_metadata", "title", F.concat("pmc_id", F.lit("/"), "ref_id")))
         .unionByName(part("pair_descriptions", "modality", F.col("record_index")))
     )
 

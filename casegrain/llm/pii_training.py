@@ -16,7 +16,7 @@ from collections import defaultdict
 
 from casegrain.llm.pii import NEAR, WEIGHTS, SegmentCRF, candidates, features
 
-TEXTS, ROUNDS, RATE, DECAY, SEED = 6000, 4, 0.25, 2e-4, 7
+TEXTS, ROUNDS, RATE, DECAY, SEED = 8000, 4, 0.25, 2e-4, 7
 
 FIRST = "Alva Bruno Carla Dieter Elin Faisal Greta Hugo Imani Joao Klara Lorenzo Maëlle Nikolai Olga Paula Quim Renate Sanna Teodor Ulla Vikram Wanda Xavier Yusuf Zoë Åke Élise Øyvind Ángel Jürgen Søren Beatriz Amadou Mei Ravi Thandi Piotr Anneliese Connor".split()
 STEMS = "Hol Brek Stav Mor Lund Fal Krem Vint Dahl Pres Rud Gal Osk Tren Bel Harg Wes Nor Sjö Läm Pér Kov Zel Dor Mün Cal Ver Tor Gran Lin".split()
