@@ -70,6 +70,25 @@ def assign_shards(lines: DataFrame, most_bytes: int = MOST_BYTES, most_requests:
     return lines.select("ordinal", "line_bytes", F.floor(F.col("ordinal") / per_task).alias("run")).groupBy("run").applyInPandas(fill, kind)
 
 
+def request_body(model: str, developer: Column, user: Column, effort: str | None = None) -> Column:
+    """Canonical JSON of a chat request; an absent effort is left out."""
+    said = F.array(F.struct(developer.alias("content"), F.lit("developer").alias("role")), F.struct(user.alias("content"), F.lit("user").alias("role")))
+    return F.to_json(F.struct(said.alias("messages"), F.lit(model).alias("model"), F.lit(effort).cast("string").alias("reasoning_effort")))
+
+
+def write_shards(lines: DataFrame, shards: DataFrame, path: str) -> DataFrame:
+    """One JSON lines file per shard below ``path``, as run=<r>/shard=<s>/, and the index of all requests beside them.
+
+    Each shard is sorted and written by one task; it is bounded by the shard limits. Returns the index.
+    """
+    rows = lines.join(shards, "ordinal")
+    out = rows.select("run", "shard", "ordinal", F.col("line").alias("value")).repartition("run", "shard").sortWithinPartitions("run", "shard", "ordinal")
+    out.drop("ordinal").write.partitionBy("run", "shard").text(f"{path}/shards")
+    index = rows.select("ordinal", "custom_id", "run", "shard", "line_number", "line_bytes", F.sha2(F.concat("line", F.lit("\n")), 256).alias("line_sha256"))
+    index.write.parquet(f"{path}/index")
+    return index.sparkSession.read.parquet(f"{path}/index")
+
+
 RESPONSE = "custom_id string, error string, response struct<status_code: int, body: struct<choices: array<struct<index: int, finish_reason: string, message: struct<role: string, content: string, refusal: string>>>>>"
 
 

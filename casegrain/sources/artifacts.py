@@ -179,3 +179,17 @@ def write_assets(figures: DataFrame, root: str) -> DataFrame:
             yield pd.DataFrame({"folder": b["folder"], "name": b["name"], "written": made})
 
     return figures.select("folder", "name", "image", "caption").mapInPandas(scan, "folder string, name string, written boolean")
+
+
+def snapshot(paths: list[str], root: str) -> str:
+    """Copies files into a folder named by their contents; a snapshot that exists is checked, not written again."""
+    parts = sorted((Path(p).read_bytes() for p in paths), key=lambda b: hashlib.sha256(b).hexdigest())
+    name = hashlib.sha256(b"".join(hashlib.sha256(b).digest() for b in parts)).hexdigest()
+    target = Path(root) / name
+    if not target.exists():
+        with publishing(str(target)) as temporary:
+            for n, b in enumerate(parts):
+                write_bytes(f"{temporary}/{n:05d}.jsonl", b)
+    if [p.read_bytes() for p in sorted(target.glob("*.jsonl"))] != parts:
+        raise IntegrityError(f"{target} does not hold what its name says")
+    return str(target)

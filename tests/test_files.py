@@ -174,3 +174,52 @@ def test_tables_and_spread(spark):
     assert df.count() == 5
     t.drop(df)
     assert spread(spark.range(10).toDF("i").coalesce(1), "i").rdd.getNumPartitions() == 16
+
+
+def test_settings_and_small_inputs(spark, tmp_path):
+    from casegrain.sources import config
+
+    p = tmp_path / "c.toml"
+    p.write_text("most_white = 1\nlimit = 5\n")
+    assert config.load_settings(str(p)).limit == 5
+    for bad in ("nope = 1", "most_text = true", "most_white = 2.0", "limit = -1", 'most_text = "x"'):
+        p.write_text(bad)
+        with pytest.raises(ConfigurationError):
+            config.load_settings(str(p))
+    a = tmp_path / "a.jsonl"
+    good = {"patient_uid": "1-1", "label": "human", "reason": "seen"}
+    a.write_text(json.dumps(good) + "\n")
+    assert config.load_adjudications(spark, str(a)).count() == 1
+    for bad in (good | {"label": "x"}, good | {"reason": " "}, good | {"reason": " x"}):
+        a.write_text(json.dumps(bad) + "\n")
+        with pytest.raises(IntegrityError):
+            config.load_adjudications(spark, str(a))
+    a.write_text((json.dumps(good) + "\n") * 2)
+    with pytest.raises(IntegrityError):
+        config.load_adjudications(spark, str(a))
+    with pytest.raises(ConfigurationError):
+        config.require_apart(str(tmp_path / "x"), str(tmp_path))
+    config.require_apart(str(tmp_path / "x"), str(tmp_path / "y"))
+    (tmp_path / ".run-abc").mkdir()
+    assert config.clear_stale(str(tmp_path), "run") == [".run-abc"]
+    df = spark.range(10).toDF("i")
+    assert [r["i"] for r in config.first_n(df, 3, "i").collect()] == [0, 1, 2] and config.first_n(df, None).count() == 10
+    with pytest.raises(ConfigurationError):
+        config.first_n(df, -1, "i")
+
+
+def test_shard_files_and_snapshot(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from casegrain.operators import batches
+
+    df = spark.createDataFrame([(i, f"u{i}") for i in range(40)], "k long, u string")
+    body = batches.request_body("m", F.lit("be exact"), F.col("u"))
+    lines = batches.request_lines(df.withColumn("body", body), "citation", ["k"])
+    assert json.loads(lines.first()["body"]).keys() == {"messages", "model"}
+    index = batches.write_shards(lines, batches.assign_shards(lines, 10**6, 15), str(tmp_path / "out"))
+    files_made = sorted((tmp_path / "out/shards").glob("run=*/shard=*/*.txt"))
+    text = [[json.loads(x)["custom_id"] for x in f.read_text().splitlines()] for f in files_made]
+    assert [len(t) for t in text] == [15, 15, 10] and sum(text, []) == [r["custom_id"] for r in index.orderBy("ordinal").collect()]
+    kept = artifacts.snapshot([str(f) for f in files_made], str(tmp_path / "raw"))
+    assert artifacts.snapshot([str(f) for f in reversed(files_made)], str(tmp_path / "raw")) == kept
