@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from casegrain.session import Tables
 
 HEAVY_SHARE = 0.005
-FEWEST = 1024
+FEWEST = 100_000  # rows of one label that a task takes without trouble
 
 
 def follow(rows: DataFrame, n: int, column: str, spread: str, pointers: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
