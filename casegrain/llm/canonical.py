@@ -185,6 +185,10 @@ class Names:
         parts = [plain(p) for p in shown.split(",")]
         if len(parts) > 1:
             tries += [(1, " ".join(parts[i:] + parts[:i]), None) for i in range(1, len(parts))]
+        best = self._best(best, tries)
+        if best is not WORST:  # no run of words can beat a hit of the whole value
+            return best
+        tries = []
         for n in range(min(len(low), self.longest + 1), 0, -1):
             for i in range(len(low) - n + 1):
                 if n < len(low):
@@ -198,6 +202,9 @@ class Names:
                 for y in range(1, min(len(b), self.longest) + 1):
                     if x < len(a) or y < len(b) or len(parts) > 2:
                         tries.append((2, " ".join(b[:y] + a[-x:]), None))
+        return self._best(best, tries)
+
+    def _best(self, best: tuple[int, float, int, int], tries: list) -> tuple[int, float, int, int]:
         for tier, q, written in tries:
             for k, name in self.near(q):
                 if tier == 2:
