@@ -126,8 +126,6 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
                         found.add((s, e, "phone"))
     for m in NAMES.finditer(text):
         parts = [(m.start() + p.start(), m.start() + p.end()) for p in PIECE.finditer(m.group())]
-        if len(parts) > 12:
-            parts = parts[:12]
         if len(parts) == 1:
             before = TOKEN.findall(text[max(0, m.start() - 12) : m.start()])
             if not before or CUE.get(before[-2 if before[-1] == "." and len(before) > 1 else -1].casefold()) != "title":

@@ -88,6 +88,19 @@ def test_corpus_spots_are_candidates():
         assert set(gold) <= set(pii.candidates(text))
 
 
+def test_names_behind_many_capitalised_words():
+    names = "Anna Berg, Bo Lind, Carl Holm, Dora Voss, Egon Falk, Fay Nord, Gus Hale, Ida Moor".split(", ")
+    text = f"Thanks to {', '.join(names * 5)}"
+    proposed = {(s, e) for s, e, k in pii.candidates(text) if k == "name"}
+    at = 0
+    for n in names * 5:
+        at = text.index(n, at)
+        assert (at, at + len(n)) in proposed
+        at += len(n)
+    text = f"Thanks to {', '.join(names)}"
+    assert "Ida Moor" in {text[s:e] for s, e, k in M.decode(text) if k == "name"}
+
+
 def test_in_spark(spark):
     text = "Signed: Bo Stavsen, passport no. X01234567."
     rows = [(1, text, "c"), (2, None, "c"), (3, "", "c"), (4, "x " * 50_000 + text, "c"), (1, text, "c")]
