@@ -112,13 +112,13 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     for m in NUMBERS.finditer(text):
         if len(DIGIT.findall(m.group())) < 5:
             continue
-        parts = [(m.start() + c.start(), m.start() + c.end()) for c in CHUNK.finditer(m.group())][:9]
+        parts = [(m.start() + c.start(), m.start() + c.end()) for c in CHUNK.finditer(m.group())]
         for i, (s, _) in enumerate(parts):
-            if i > 2:
-                break
             for _, e in parts[i:]:
                 digits = len(DIGIT.findall(text[s:e]))
-                if digits < 5 or digits > 16:
+                if digits > 16:
+                    break
+                if digits < 5:
                     continue
                 if text[s:e].count("(") == text[s:e].count(")"):
                     found.add((s, e, "id_number"))

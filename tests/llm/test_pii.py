@@ -101,6 +101,23 @@ def test_names_behind_many_capitalised_words():
     assert "Ida Moor" in {text[s:e] for s, e, k in M.decode(text) if k == "name"}
 
 
+@pytest.mark.parametrize(
+    ("text", "phones"),
+    [
+        ("Call 020 7946 0958 / 020 7946 0959 please.", ["020 7946 0958", "020 7946 0959"]), ("Tel. 01 23 45 67 89 / 01 98 76 54 32", ["01 23 45 67 89", "01 98 76 54 32"]),
+        ("Seen 12.03.2019 (555) 123-4567 today", ["(555) 123-4567"]),
+    ],
+)
+def test_neighbouring_numbers(text, phones):
+    assert [text[s:e] for s, e, k in M.decode(text) if k == "phone"] == phones
+
+
+def test_numbers_are_proposed_wherever_they_start():
+    for text, number in [("born 12.03.1975 030 1234567", "030 1234567"), ("1 2 3 4 5 / " * 30 + "030 1234567", "030 1234567"), ("x 0 2 0 7 9 4 6 0 9 5 8", "0 2 0 7 9 4 6 0 9 5 8")]:
+        at = text.index(number)
+        assert {(at, at + len(number), k) for k in ("phone", "id_number")} <= set(pii.candidates(text))
+
+
 def test_in_spark(spark):
     text = "Signed: Bo Stavsen, passport no. X01234567."
     rows = [(1, text, "c"), (2, None, "c"), (3, "", "c"), (4, "x " * 50_000 + text, "c"), (1, text, "c")]
