@@ -9,7 +9,8 @@ least ``least_words`` words of the item (or all of a shorter item) is a case.
 
 Test sets are small beside the corpus, but only a count proves it: up to ``broadcast_fingerprints`` the test side goes to all
 workers and the corpus is never shuffled. Beyond that the corpus' fingerprints meet the test side's in a shuffled join,
-in which fingerprints that many documents share are spread by salt.
+in which fingerprints that many documents share are spread by salt. Both ways give the same cases: a document with a hit is
+compared with every item it shares words with, and items too short for a sure fingerprint are looked up as a whole.
 """
 
 from __future__ import annotations
@@ -106,6 +107,7 @@ class Items:
         p = np.concatenate(post, axis=1) if post else np.empty((3, 0), np.uint64)
         order = np.argsort(p[0], kind="stable")
         self.gram3, self.of, self.at = p[0][order], p[1][order].astype(np.int64), p[2][order].astype(np.int64)
+        self.whole = {n: np.array([grams(h, n)[0] for h in self.words if len(h) == n], np.uint64) for n in {len(h) for h in self.words} if n < gram + window - 1}
         self.short: dict[int, set[int]] = {}
         for h in self.words:
             if len(h) < 3:
@@ -176,30 +178,42 @@ def best_chain(found: list[tuple[int, int, int]]) -> tuple[int, int, int, int]:
     return best
 
 
-def leaked(h: np.ndarray, items: Items, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
-    """(item, words shared, words spanned) of every item that leaked into the words ``h``.
-
-    Items made of like sentences resemble each other: an inexact chain within the passage of a better item is that item's.
-    """
+def chains(h: np.ndarray, items: Items, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int, int, int]]:
+    """(item, words shared, words spanned, start and end in the document) of every item with enough words in ``h``."""
     cases = []
     for k, found in runs(h, items).items():
         shared, span, begin, end = best_chain(found)
         need = min(least_words, len(items.words[k]))
         if span >= need and shared >= SHARED * span:
             cases.append((items.ids[k], shared, span, begin, end))
+    return cases
+
+
+def short_items(h: np.ndarray, items: Items) -> list[tuple[int, int, int]]:
+    """(item, words, words) of the items of one or two words in ``h``."""
     out = []
-    for i, shared, span, begin, end in cases:
-        if shared == span or not any(s > shared and b <= begin and end <= e for _, s, _, b, e in cases):
-            out.append((i, shared, span))
     for n, hashes in items.short.items():
         there = set(grams(h, n).tolist()) & hashes
         out += [(i, n, n) for i, w in zip(items.ids, items.words, strict=True) if len(w) == n and int(grams(w, n)[0]) in there]
     return out
 
 
+def leaked(h: np.ndarray, items: Items, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
+    """(item, words shared, words spanned) of every item that leaked into the words ``h``.
+
+    Items made of like sentences resemble each other: an inexact chain within the passage of a better item is that item's.
+    """
+    cases = chains(h, items, least_words)
+    out = []
+    for i, shared, span, begin, end in cases:
+        if shared == span or not any(s > shared and b <= begin and end <= e for _, s, _, b, e in cases):
+            out.append((i, shared, span))
+    return out + short_items(h, items)
+
+
 def _find_in(h: np.ndarray, items: Items, gram: int, window: int, least_words: int) -> list[tuple[int, int, int]]:
     g = grams(h, gram)
-    if not items.short and not items.has(g[winnow(g, window)]).any():
+    if not items.short and not items.has(g[winnow(g, window)]).any() and not any(np.isin(grams(h, n), w).any() for n, w in items.whole.items()):
         return []
     return leaked(h, items, least_words)
 
@@ -249,8 +263,8 @@ def find_leaks(
     return found.groupBy("doc_id", "item_id").agg(F.max("shared_words").alias("shared_words"), F.max("spanned_words").alias("spanned_words"))
 
 
-def fingerprints(texts: DataFrame, key: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """Distinct (key, fp) of all texts."""
+def fingerprints(texts: DataFrame, key: str, gram: int = GRAM, window: int = WINDOW, sizes: tuple[int, ...] = (), whole: bool = False) -> DataFrame:
+    """Distinct (key, fp) of all texts; of ``sizes``, all grams are kept, or with ``whole`` only those that are a whole text."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -258,7 +272,7 @@ def fingerprints(texts: DataFrame, key: str, gram: int = GRAM, window: int = WIN
             for k, t in zip(b[key], b["text"], strict=True):
                 h = hash_words(words(t))
                 g = grams(h, min(gram, max(1, len(h))))
-                f = np.unique(g[winnow(g, window)]).view(np.int64)
+                f = np.unique(np.concatenate([g[winnow(g, window)], *(grams(h, n) for n in sizes if not whole or n == len(h))])).view(np.int64)
                 keys.append(np.full(len(f), k, np.int64))
                 fps.append(f)
             yield pd.DataFrame({key: np.concatenate(keys) if keys else [], "fp": np.concatenate(fps) if fps else []}).astype("int64")
@@ -266,19 +280,67 @@ def fingerprints(texts: DataFrame, key: str, gram: int = GRAM, window: int = WIN
     return texts.select(key, "text").mapInPandas(scan, f"{key} long, fp long")
 
 
+def _counted(texts: DataFrame, key: str, sizes: tuple[int, ...] = ()) -> DataFrame:
+    """(key, fp, times, size) of all trigrams and all grams of ``sizes``; without ``sizes``, a text of fewer words is one gram."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            parts = []
+            for k, t in zip(b[key], b["text"], strict=True):
+                h = hash_words(words(t))
+                g = np.concatenate([grams(h, n) for n in ({3, *sizes} if sizes else {min(3, max(1, len(h)))})])
+                f, n = np.unique(g, return_counts=True)
+                parts.append(np.stack([np.full(len(f), k, np.int64), f.view(np.int64), n.astype(np.int64), np.full(len(f), len(h), np.int64)]))
+            yield pd.DataFrame(np.concatenate(parts, axis=1).T if parts else np.empty((0, 4), np.int64), columns=[key, "fp", "times", "size"])
+
+    return texts.select(key, "text").mapInPandas(scan, f"{key} long, fp long, times long, size long")
+
+
+def _few_words(tests: DataFrame, below: int) -> tuple[int, ...]:
+    """The word counts under ``below`` that occur."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"n": sorted({len(words(t)) for t in b["text"]} & set(range(1, below)))}, dtype="int64")
+
+    return tuple(sorted(r["n"] for r in tests.select("text").mapInPandas(scan, "n long").distinct().collect()))
+
+
+def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    salt = F.pmod(F.xxhash64("doc_key"), F.lit(SALTS)).cast("int")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("salt", salt).join(right.hint("shuffle_hash"), ["fp", "salt"])
+
+
 def _joined(docs: DataFrame, tests: DataFrame, gram: int, window: int, least_words: int) -> DataFrame:
-    """The same for a test side of any size: both sides' fingerprints meet in a salted, shuffled join."""
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    left = fingerprints(docs, "doc_id", gram, window).withColumn("salt", salt)
-    right = fingerprints(tests, "item_id", gram, window).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    pairs = left.join(right.hint("shuffle_hash"), ["fp", "salt"]).select("doc_id", "item_id").distinct()
-    texts = pairs.join(tests.withColumnRenamed("text", "item_text").hint("shuffle_hash"), "item_id").join(docs, "doc_id")
+    """The same for a test side of any size, in salted, shuffled joins.
+
+    Fingerprints tell which documents have a hit (all count as hit if an item has one or two words, as above). These meet
+    all items by trigram; as in ``runs``, a pair needs enough of them. Chains are found pair by pair and compared per document.
+    """
+    docs = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
+    tests = tests.withColumn("item_key", F.xxhash64("item_id", "text"))
+    few = _few_words(tests, gram + window - 1)
+    short = tuple(n for n in few if n < 3)
+    hit = docs
+    if not short:
+        right = fingerprints(tests, "item_key", gram, window, few, whole=True).select("fp").distinct()
+        hit = docs.join(_meet(fingerprints(docs, "doc_key", gram, window, few), right).select("doc_key").distinct(), "doc_key", "left_semi")
+    left = _counted(hit, "doc_key", (3, *short)).drop("size")
+    met = _meet(left, _counted(tests, "item_key").withColumnRenamed("times", "often")).groupBy("doc_key", "item_key").agg(F.sum(F.col("times") * F.col("often")).alias("n"), F.first("size").alias("size"))
+    pairs = met.where(3 * F.col("n") >= SHARED * F.least(F.lit(LEAST_WORDS), "size")).select("doc_key", "item_key")
+    texts = pairs.join(tests.withColumnRenamed("text", "item_text").hint("shuffle_hash"), "item_key").join(docs, "doc_key")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for d, i, it, t in zip(b["doc_id"], b["item_id"], b["item_text"], b["text"], strict=True):
-                out += [(d, *x) for x in leaked(hash_words(words(t)), Items([(i, it)], gram, window), least_words)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "shared_words", "spanned_words"])
-
-    return texts.select("doc_id", "item_id", "item_text", "text").mapInPandas(verify, OUT)
+            for k, d, i, it, t in zip(b["doc_key"], b["doc_id"], b["item_id"], b["item_text"], b["text"], strict=True):
+                h, item = hash_words(words(t)), Items([(i, it)], gram, window)
+                out += [(k, d, *x) for x in chains(h, item, least_words)] + [(k, d, *x, 0, 0) for x in short_items(h, item)]
+            yield pd.DataFrame(out, columns=["doc_key", "doc_id", "item_id", "shared_words", "spanned_words", "start", "stop"])
+
+    cases = texts.select("doc_key", "doc_id", "item_id", "item_text", "text").mapInPandas(verify, f"doc_key long, {OUT}, start int, stop int")
+    per = cases.groupBy("doc_key", "doc_id").agg(F.collect_list(F.struct("item_id", "shared_words", "spanned_words", "start", "stop")).alias("cs"))
+    better = "exists(cs, o -> o.shared_words > c.shared_words and o.start <= c.start and c.stop <= o.stop)"
+    kept = per.select("doc_id", F.explode(F.expr(f"filter(cs, c -> c.shared_words = c.spanned_words or not {better})")).alias("c"))
+    return kept.select("doc_id", "c.item_id", "c.shared_words", "c.spanned_words")

@@ -105,5 +105,28 @@ def test_in_spark_both_ways(spark):
     assert L.find_leaks(d, t.limit(0)).count() == 0 and L.find_leaks(d.limit(0), t).count() == 0
 
 
+def test_items_of_few_words_leak_as_a_whole():
+    for n in range(1, 8):
+        for at in range(20):
+            assert leak(" ".join(NOISE[:at] + VOCAB[100 : 100 + n] + NOISE[at:60]), [(1, " ".join(ITEM)), (7, " ".join(VOCAB[100 : 100 + n]))]) == [7]
+
+
+def test_both_ways_agree_on_like_and_short_items(spark):
+    other = [f"other{i}" if i % 5 == 4 else w for i, w in enumerate(ITEM)]
+    fourth = [f"fourth{i}" if i % 4 == 3 else w for i, w in enumerate(VOCAB[200:260])]
+    texts = [ITEM, other, *(VOCAB[100 : 100 + n] for n in range(1, 8)), fourth]
+    docs = [around(ITEM), around(other), around(ITEM[:30] + NOISE[200:220] + other[30:]), around([*ITEM, *VOCAB[200:260]]), " ".join(NOISE)]
+    docs += [" ".join(w for i in range(0, 60, 4) for w in [*VOCAB[200 + i : 203 + i], f"x{i}"])]  # runs of three words: no fingerprint
+    docs += [" ".join(NOISE[:k] + VOCAB[100 : 100 + n] + NOISE[k:60]) for n in range(1, 8) for k in (3, 4, 5)]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    for first in (0, 2, 4):  # with and without items of one or two words
+        t = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts) if i < 2 or i >= 2 + first], "item_id long, text string")
+        got = {tuple(r) for r in L.find_leaks(d, t).collect()}
+        assert {tuple(r) for r in L.find_leaks(d, t, broadcast_fingerprints=0).collect()} == got
+        pairs = {x[:2] for x in got}
+        assert (0, 0) in pairs and (0, 1) not in pairs and (1, 1) in pairs and (1, 0) not in pairs and (3, 9) in pairs
+        assert all((6 + 3 * (n - 1) + k, 1 + n) in pairs for n in range(1 + first, 8) for k in range(3))
+
+
 def test_hash_is_stable():
     assert L.hash_words(["abc"])[0] == np.uint64(L.xxhash.xxh64_intdigest("abc"))
