@@ -167,6 +167,16 @@ def test_stream_merges_batches(spark, tmp_path):
     assert {tuple(r) for r in todo.collect()} == {("b", True), ("c", False)}
 
 
+def test_late_rows_are_counted_in_their_month(spark, tmp_path):
+    src, schema, last = str(tmp_path / "in"), "seen timestamp", {}
+    for days in ([datetime(2024, 8, 1), datetime(2024, 8, 31)], [datetime(2024, 9, 1)], [datetime(2024, 1, 31), datetime(2024, 8, 2), None]):
+        spark.createDataFrame([(d,) for d in days], schema).coalesce(1).write.mode("append").parquet(src)
+        m = ingest.monthly_arrivals(spark.readStream.schema(schema).parquet(src), "seen")
+        w = m.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
+        w.foreachBatch(lambda b, n: last.update({r["start"]: r["rows"] for r in b.collect()})).trigger(availableNow=True).start().awaitTermination()
+    assert last == {datetime(2024, 1, 1): 1, datetime(2024, 8, 1): 3, datetime(2024, 9, 1): 1}
+
+
 def test_tables_and_spread(spark):
     assert work_dir(spark)
     t = Tables(spark, "x")
