@@ -229,6 +229,17 @@ def q_species_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("rule").agg(F.count(F.lit(1)).alias("titles"))
 
 
+@R.query("q_species_all_rules")
+def q_species_all_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many distinct titles and descriptions each rule of the whole rule set hits; tested against brute force."""
+    cases = table(spark, sf_dir, "cases")
+    hits = []
+    for c in ("title", "case_description"):
+        t = cases.select(F.lower(F.coalesce(c, F.lit(""))).alias("t")).distinct()
+        hits.append(t.select(F.explode(species.field_rules(F.col("t"), c)).alias("rule")))
+    return hits[0].unionByName(hits[1]).groupBy("rule").agg(F.count(F.lit(1)).alias("texts"))
+
+
 @R.query("q_species")
 def q_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Human or animal, per live case, with the rules that decided; the rule that needs positions is tested on fixed phrases."""

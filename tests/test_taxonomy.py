@@ -75,3 +75,23 @@ def test_alias_plurals():
     assert alias_pattern("biopsy") == "biops(?:y|ies)"
     assert alias_pattern("mass") == "mass"
     assert alias_pattern("lesion") == "lesions?"
+
+
+def test_all_species_rules_over_titles_and_descriptions(spark, tmp_path):
+    import re
+    from collections import Counter
+
+    from casegrain.operators import species
+    from casegrain.plans.dataset_queries import q_species_all_rules
+
+    rows = [("Impacted canine tooth", "A CAT scan was done in a dog."), ("A dog was treated", "The cat was treated by a vet."), ("a DOG was treated", None), (None, "Goat anti-mouse serum; canine-associated"), ("Plain", "Dog-ears")]
+    spark.createDataFrame(rows, "title string, case_description string").write.parquet(str(tmp_path / "cases.parquet"))
+    want = Counter()
+    for k, field in enumerate(("title", "case_description")):
+        for t in {(r[k] or "").lower() for r in rows}:
+            want.update(f"{field}:species:{n}" for n, p in species.SPECIES.items() if re.search(rf"\b(?:{p})\b", t))
+            want.update(f"{field}:{n}" for n, p in species.CONTEXT.items() if re.search(p, t))
+            want.update(f"{field}:ambiguous:{n}" for n, p in species.AMBIGUOUS.items() if re.search(p, t))
+            want.update([f"{field}:explicit_nonhuman_subject"] * (t in ("a dog was treated", "the cat was treated by a vet.", "a cat scan was done in a dog.")))
+    got = {tuple(r) for r in q_species_all_rules(spark, str(tmp_path)).collect()}
+    assert got == set(want.items()) and ("case_description:ambiguous:cat_scan", 1) in got
