@@ -21,7 +21,7 @@ def entered_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = t.select("record_index", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in FIELDS])).alias("e")).select("record_index", "e.*")
     long = long.where(F.trim(F.regexp_replace("value", r"(?U)[\s\p{Cf}]+", "")) != "")
     terms = table(spark, sf_dir, "canonical_terms").select("field", F.col("term").alias("value"))
-    return long.join(F.broadcast(terms), ["field", "value"], "left_anti").select("record_index", "field", "value").distinct()
+    return salted_join(long, terms.distinct(), ["field", "value"], ["record_index"], "left_anti").select("record_index", "field", "value").distinct()
 
 
 def reference_names(spark: SparkSession, sf_dir: str) -> DataFrame:
