@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
+BROADCAST_BYTES = 32 << 20  # of values as text; a hash table of them takes a few times that
+BROADCAST_ROWS = 500_000
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
@@ -19,3 +22,20 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: l
     a = left.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     b = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
+
+
+def fits_broadcast(df: DataFrame, most_bytes: int = BROADCAST_BYTES, most_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` is proven small, by its rows and the length of its values; meant for a table that is cheap to read."""
+    size = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        if not isinstance(f.dataType, T.NumericType | T.BooleanType | T.DatetimeType):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(f.name)) if not isinstance(f.dataType, T.StringType) else F.col(f.name)), F.lit(0))
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= most_rows and total <= most_bytes
+
+
+def small_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``left`` joined with ``right``: by broadcast if a measurement proves ``right`` small, else salted."""
+    if fits_broadcast(right, most_bytes):
+        return left.join(F.broadcast(right), keys, how)
+    return salted_join(left, right, keys, spread_by, how)

@@ -1,6 +1,6 @@
 import pytest
 
-from casegrain.operators.joins import salted_join
+from casegrain.operators.joins import fits_broadcast, salted_join, small_join
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -15,3 +15,13 @@ def test_other_kinds_are_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
         salted_join(df, df, ["id"], ["id"], "full_outer")
+
+
+def test_small_side_is_measured(spark):
+    small = spark.createDataFrame([(i, f"k{i}", [str(i)]) for i in range(50)], "id int, k string, xs array<string>")
+    assert fits_broadcast(small) and not fits_broadcast(small, most_rows=49) and not fits_broadcast(small, most_bytes=2000)
+    left = spark.createDataFrame([(i, f"k{i % 60}") for i in range(300)], "n int, k string")
+    plain = sorted(map(str, left.join(small, ["k"]).collect()))
+    for most in (1, 1 << 20):
+        assert sorted(map(str, small_join(left, small, ["k"], ["n"], most_bytes=most).collect())) == plain
+    assert fits_broadcast(small.limit(0), 0, 0)
