@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import pandas as pd
@@ -27,80 +27,125 @@ KINDS = ("name", "email", "phone", "id_number", "address")
 NEAR = 3  # characters between segments that count as neighbours
 WEIGHTS = Path(__file__).with_name("pii_weights.json")
 
-UPPER = "A-ZÀ-ÖØ-ÞĀĂĄĆĈĊČĎĐĒĖĘĚĞĢĪĮİĶĹĻĽŁŃŅŇŌŐŒŔŘŚŞŠŢŤŪŮŰŲŴŶŸŹŻŽ"
-WORD = rf"[{UPPER}][^\W\d_]+(?:['’][^\W\d_]+)?"
+def _capitals() -> str:
+    """All capital letters of the basic plane as ranges of a character class."""
+    out, start = [], None
+    for cp in range(0xFFFF):
+        up = unicodedata.category(chr(cp)) in ("Lu", "Lt")
+        if up and start is None:
+            start = cp
+        elif not up and start is not None:
+            out.append(f"{chr(start)}-{chr(cp - 1)}")
+            start = None
+    return "".join(out)
+
+
+UPPER = _capitals()
+WORD = rf"(?:[{UPPER}]['’][{UPPER}][^\W\d_]+|[{UPPER}][^\W\d_]+(?:['’][^\W\d_]+)?)"
 PART = rf"(?:{WORD}(?:-{WORD})?|[{UPPER}]\.(?:-?[{UPPER}]\.)?)"
 PARTICLE = r"(?:(?:von|van|der|den|de|del|della|di|da|dos|du|la|le|el|al|bin|ibn|zu|zur|ter|ten)\s)"
 NAMES = re.compile(rf"(?<![^\W_]){PART}(?:(?:, | ){PARTICLE}{{0,2}}{PART})*(?![^\W_])")
 PIECE = re.compile(PART)
+LED_BY = re.compile(rf"(?<![^\W_]){PARTICLE}{{1,2}}\Z")
+PARTICLES = re.compile(rf"\b{PARTICLE}")
+# Family names that most Chinese names begin with.
+HAN_FAMILY = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾肖田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范金石廖贾夏韦付方白邹孟熊秦邱江尹薛"
+HAN = re.compile(rf"[{HAN_FAMILY}](?=[\u4e00-\u9fff])")
+
+DOT = r"(?:\.|\s?[\[({]\s?(?:dot|punkt|punto|point|\.)\s?[\])}]\s?| (?:dot|punkt|punto|point) )"
+AT = re.compile(
+    r"[\[({<]\s?(?:at|a|arroba|arobase|@)\s?[\])}>]\s?|@\s?|(?<=\w) (?:at|arroba|arobase) (?=[\w-]+(?: (?:dot|punkt|punto|point) |\s?[\[({]\s?(?:dot|punkt|punto|point)))", re.I
+)
+LOCAL = re.compile(rf"[\w+-]+(?:{DOT}[\w+-]+)*$", re.I)
+LONGEST_LOCAL = 80  # a mail address has at most 64 characters before its sign
+HOST = re.compile(rf"[\w-]+(?:{DOT}[\w-]+)*", re.I)
+DOTS = re.compile(DOT, re.I)
+TOP = re.compile(r"[\W_][^\W\d_]{2,}\Z")  # the last label of a host is a word
 
-DOT = r"(?:\.|\s?[\[(]\s?(?:dot|punkt|punto|point)\s?[\])]\s?| dot )"
-AT = r"(?:\s?[\[({]\s?(?:at|a|arroba|arobase|@)\s?[\])}]\s?|@)"
-SPELT = r"[\w+-]+(?: dot [\w+-]+)* at [\w-]+(?: dot [\w-]+)+"
-EMAILS = re.compile(rf"(?<![\w.+-])(?:{SPELT}|[\w+-]+(?:{DOT}[\w+-]+)*{AT}[\w-]+(?:{DOT}[\w-]+)*)", re.I)
-
-NUMBERS = re.compile(r"(?<![\w])(?:[A-Z]{1,4}[-. ]?)?[+(]{0,2}[A-Z]{0,3}\d[\dA-Z]*(?:\)?[ ./()\-–]{0,3}[A-Z]{0,3}\d[\dA-Z]*)*(?: [A-Z])?(?![\w])")
+NUMBERS = re.compile(r"(?<![\w])(?:[A-Z]{1,4}[-. ]?)?[+(]{0,2}[A-Z]{0,3}\d[\dA-Z]*(?:\)?[ ./()\-–]{0,3}(?:[A-Z]{0,3}|[A-Z] )\d[\dA-Z]*)*(?:[ -][A-Z])?(?![\w])")
 CHUNK = re.compile(r"[A-Z]*[+(]*[A-Z]*\d[\dA-Z]*|[A-Z]+")
+LEAST_DIGITS, MOST_DIGITS = 5, 16
 
 # Words that mark streets and flats.
 STREET_WORDS = (
     "street st road rd lane ln avenue ave drive dr court ct close boulevard blvd way place pl square sq terrace crescent "
     "grove gardens hill row walk mews park parade quay rise view alley bridge circle highway hwy loop path trail"
 ).split()
-STREET = rf"(?:{'|'.join(w.title() for w in STREET_WORDS)})\b\.?"
-GERMAN = rf"(?:[{UPPER}][^\W\d_]*(?:stra(?:ß|ss)e|gasse|weg|platz|allee|ring|damm|ufer|str\.)|(?:(?:Am|An der|Im|Zum|Zur|Auf dem) )[{UPPER}][^\W\d_]+|(?:[{UPPER}][^\W\d_]+[ -]){{1,2}}(?:Straße|Strasse|Gasse|Weg|Platz|Allee|Ring))"
-ROMANCE = rf"(?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Qq]uai|[Cc]hemin|[Aa]llée|[Ii]mpasse|[Cc]alle|[Aa]venida|[Aa]vda\.|[Pp]laza|[Pp]aseo|[Cc]amino|[Rr]onda|C/|[Vv]ia|[Vv]iale|[Pp]iazza|[Rr]ua|[Tt]ravessa)(?: (?:(?:de|du|des|del|della|di|da|do|dos|das|la|las|les|los|el|le|l['’])\b ?)*(?:[{UPPER}][\w'’-]+)){{1,3}}"
-FLAT = r"(?:Flat|Apt\.?|Apartment|Unit|Suite|Room|Floor)\s?#?\s?\d+[A-Z]?"
-HOUSE = r"\d{1,5}\s?[A-Za-z]?(?:[-/]\d{1,4})?"
+STREET = rf"(?:{'|'.join(w.title() for w in STREET_WORDS)}|{'|'.join(w.upper() for w in STREET_WORDS)})\b\.?"
+GERMAN = rf"(?:[{UPPER}][^\W\d_]*(?:(?i:stra(?:ß|ss)e|gasse|weg|platz|allee|ring|damm|ufer)|str\.)|(?i:Am|An der|Im|Zum|Zur|Auf dem) [{UPPER}][^\W\d_]+|(?:[{UPPER}][^\W\d_]+[ -]){{1,2}}(?i:Stra(?:ß|ss)e|Gasse|Weg|Platz|Allee|Ring))"
+ROMANCE = rf"(?i:rue|avenue|boulevard|place|quai|chemin|allée|impasse|calle|avenida|avda\.|plaza|paseo|camino|ronda|C/|via|viale|piazza|rua|travessa)(?: (?:(?i:de|du|des|del|della|di|da|do|dos|das|la|las|les|los|el|le|l['’])\b ?)*(?:[{UPPER}][\w'’-]+)){{1,3}}"
+FLAT = r"(?i:Flat|Apt\.?|Apartment|Unit|Suite|Room|Floor)\s?#?\s?\d+[A-Z]?"
+HOUSE = r"\d{1,5}(?:\s?[A-Za-z]\b(?!-\d{5}))?(?:[-/]\d{1,4}(?!\d))?"
 ENGLISH = rf"(?:{FLAT}, ?)?{HOUSE},? (?:[{UPPER}][\w'’-]+ ){{1,3}}{STREET}"
 ADDRESSES = re.compile(
-    rf"(?<![\w])(?:{ENGLISH}|(?:{HOUSE},? (?:bis |ter )?)?{ROMANCE}(?:,? (?:n\.?º ?)?{HOUSE}(?![\w]))?|{GERMAN} {HOUSE}(?![\w]))"
+    rf"(?<![\w])(?=[{UPPER}\drabpqcivtzn])(?:{ENGLISH}|(?:{HOUSE},? (?:(?i:bis|ter) )?)?{ROMANCE}(?:,? (?:[nN]\.?º ?)?{HOUSE}(?![\w]))?|{GERMAN} {HOUSE}(?![\w]))"
 )
 TAIL = re.compile(
-    rf",? ?(?:{FLAT}(?![\w])|[A-Z]{{1,2}}\d{{1,2}}[A-Z]? ?\d[A-Z]{{2}}\b|[A-Z]{{2}} \d{{5}}(?:-\d{{4}})?\b|(?:[A-Z]{{1,2}}-)?\d{{4,5}}\b(?: ?[A-Z]{{2}}\b)?|[{UPPER}][^\W\d_]+(?!\w)(?:[ -][{UPPER}'’][^\W\d_]+(?!\w)){{0,3}})"
+    rf",?\s?(?:{FLAT}(?![\w])|[A-Z]{{1,2}}\d{{1,2}}[A-Z]? ?\d[A-Z]{{2}}\b|[A-Z]{{2}} \d{{5}}(?:-\d{{4}})?\b|(?:[A-Z]{{1,2}}-)?\d{{4,5}}\b(?: ?[A-Z]{{2}}\b)?|[{UPPER}][^\W\d_]+(?!\w)(?:(?:[ -]|-(?:[a-z]{{1,5}}-){{1,2}})[{UPPER}'’][^\W\d_]+(?!\w)){{0,3}})"
 )
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[^\s\w]|_")
-DIGIT = re.compile(r"\d")
+
+# Given names in several languages; a capitalised word of this list may be a name by itself.
+GIVEN = frozenset(
+    "james john robert michael william david richard joseph thomas charles daniel matthew anthony mark paul steven andrew kevin brian george edward peter simon martin henry oliver jack "
+    "mary patricia jennifer linda elizabeth barbara susan jessica sarah karen nancy lisa betty margaret sandra ashley emily donna carol ruth sharon helen laura emma alice grace lucy sophie hannah "
+    "ana maria carmen josefa isabel dolores lucia pilar elena rosa juan jose luis carlos jorge pedro pablo manuel javier miguel diego alejandro fernando "
+    "hans klaus jürgen wolfgang stefan andreas uwe heinz petra sabine monika renate ursula ingrid heike birgit anna katharina lukas felix "
+    "jean pierre michel philippe alain nicolas julien françois marie nathalie isabelle sylvie catherine céline claire camille margaux "
+    "giovanni marco luca paolo giulia chiara francesca ivan dmitri sergei olga natalia svetlana tatiana katarzyna piotr agnieszka pavel jana marek "
+    "mohammed ahmed ali fatima aisha omar hassan yusuf layla ravi priya anil sunita rajesh deepa arjun lakshmi wei ming mei hiroshi yuki kenji sakura min-jun kofi amara chidi thandi".split()
+)
 
 # Cue words in the languages of the corpus, by what they announce.
 CUES = {
     "title": "mr mrs ms miss mx dr doctor prof professor sir dame frau herr madame monsieur mme m sr sra señor señora don doña nurse sister rev",
     "phone": "phone tel telephone mobile cell call fax telefon tél téléphone teléfono telefono móvil mobil rufnummer durchwahl ring",
     "mail": "mail email courriel correo write wrote mailto",
-    "id": "ssn mrn nhs passport social security insurance tax taxpayer medicare hospital record patient id identity chart file licence "
+    "id": "ssn mrn nhs passport social security insurance insured policy tax taxpayer medicare hospital record patient id identity chart file licence enrolment member membership "
     "versichertennummer sozialversicherungsnummer krankenkasse reisepass steuernummer dossier historia seguro pasaporte passeport sécurité nif dni nie steuer pid",
     "lab": "lot batch catalogue catalog cat protocol specimen doi trial record-no reagent order grant version ratio dose serial sample kit isbn ref fig table panel day charge los protokoll studie lote protocole essai",
-    "live": "lives address home residing resident resides wohnt wohnhaft anschrift adresse habite demeurant reside domicilio residence located returned mailed send posted at",
+    "live": "lives lived living address home house flat moved residing resident resides wohnt wohnhaft anschrift adresse habite demeurant reside domicilio residence located returned mailed send posted at",
     "person": "name patient signed thank thanks contact by kin daughter son mother father wife husband brother sister spouse courtesy correspondence korrespondenz correspondance correspondencia nom de from interpreter of to author written words discharge",
     "cite": "et al sign classification score scale criteria syndrome method stain grade described according reported figure criterion test staging",
-    "place": "depot hospital clinic university institute archived in city town laboratory centre center manufactured from company inc gmbh ltd",
+    "place": "depot hospital clinic university regional general teaching royal medical health department faculty ward unit institute archived in city town laboratory centre center manufactured from company inc gmbh ltd",
 }
 CUE = {w: c for c, ws in reversed(CUES.items()) for w in ws.split()}
 
 
-@lru_cache(100_000)
-def _shape(s: str) -> str:
-    out = re.sub(r"\d+", lambda m: f"d{len(m.group())}", s)
-    return re.sub(r"[A-Z]+", lambda m: "A" * min(3, len(m.group())), re.sub(r"[a-z]+", "a", out.replace("d", "\0"))).replace("\0", "d")
+SHAPES = {cp: ("d" if chr(cp).isdigit() else "A" if chr(cp).isupper() else "a") for cp in range(0x250) if chr(cp).isalnum()}
+DIGITS9 = str.maketrans("012345678", "999999999")
+ZIP = re.compile(r"[A-Z]{1,2}[0-9]{1,2}[A-Z]? ?[0-9][A-Z]{2}$|[A-Z]{2} [0-9]{5}(?:-[0-9]{4})?$|[0-9]{4,5} [^,]+$")
+FLAT_END = re.compile(FLAT + "$")
+GOES_ON = re.compile(rf",?\s?[{UPPER}0-9]")
+NEXT_NAME = re.compile(rf",? ?[{UPPER}][^\W\d_]")
+NAME_BEFORE = re.compile(rf"[{UPPER}][^\W\d_]+\.? $|[{UPPER}]\. $")
+NUMBER_AFTER = re.compile(r"[ ./()–-]{1,3}[0-9]")
+INITIAL_END = re.compile(rf"[{UPPER}]\.$")
+KNOWN_CUES = frozenset(CUE)
 
 
-def _name_shape(s: str) -> str:
-    out = []
-    for p in PIECE.findall(s):
-        out.append("I" if p.endswith(".") else "U" if p.isupper() and len(p) > 2 else "H" if "-" in p else "C")
-    return ("," if ", " in s else "") + "".join(out) + ("p" if re.search(rf"\b{PARTICLE}", s) else "")
+def _name_shape(s: str, pieces: list[str]) -> str:
+    out = ["I" if p.endswith(".") else "U" if p.isupper() and len(p) > 2 else "H" if "-" in p else "C" for p in pieces]
+    return ("," if ", " in s else "") + "".join(out) + ("p" if PARTICLES.search(s) else "")
 
 
-def candidates(text: str) -> list[tuple[int, int, str]]:
-    """Liberal proposals (start, end, kind), sorted; several boundaries for each place."""
-    found: set[tuple[int, int, str]] = set()
-    for m in EMAILS.finditer(text):
-        found.add((m.start(), m.end(), "email"))
-        inner = re.search(rf"[\w.+-]+{AT}.*", m.group(), re.S | re.I)
-        if inner and inner.start():
-            found.add((m.start() + inner.start(), m.end(), "email"))
+def _emails(text: str, found: set[tuple[int, int, str]]) -> None:
+    for m in AT.finditer(text):
+        to = m.start() - (m.group()[0] != " " and text[max(0, m.start() - 1) : m.start()].isspace())
+        base = max(0, to - LONGEST_LOCAL)
+        local, host = LOCAL.search(text[base:to]), HOST.match(text, m.end())
+        if not local or not host or (m.end() - to > 1 and m.group().strip() == "@" and not DOTS.search(host.group())):
+            continue
+        begins = {base + local.start(), base + local.start() + max([x.end() for x in DOTS.finditer(local.group()) if " " in x.group()] or [0])}
+        ends = {host.end(), *(m.end() + x.start() for x in list(DOTS.finditer(host.group()))[1:] if " " in x.group() or x.group() == ".")}
+        found.update((b, e, "email") for b in begins for e in ends if TOP.search(text, max(m.end() - 1, e - 24), e))
+
+
+def _addresses(text: str, found: set[tuple[int, int, str]]) -> None:
     for m in ADDRESSES.finditer(text):
         ends, end = [m.end()], m.end()
+        if text[end - 1] == ".":  # of an abbreviation or of the sentence
+            ends.append(end - 1)
         for _ in range(4):
             t = TAIL.match(text, end)
             if not t or t.end() == end:
@@ -109,84 +154,175 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
             ends += words[-3:]
             end = t.end()
         found.update((m.start(), e, "address") for e in ends)
+
+
+def _numbers(text: str, found: set[tuple[int, int, str]]) -> None:
     for m in NUMBERS.finditer(text):
-        if len(DIGIT.findall(m.group())) < 5:
+        run = m.group()
+        if len(run) < LEAST_DIGITS:
+            continue
+        parts = [(c.start(), c.end(), sum(map(str.isdigit, c.group()))) for c in CHUNK.finditer(run)]
+        if sum(p[2] for p in parts) < LEAST_DIGITS:
             continue
-        parts = [(m.start() + c.start(), m.start() + c.end()) for c in CHUNK.finditer(m.group())]
-        for i, (s, _) in enumerate(parts):
-            for _, e in parts[i:]:
-                digits = len(DIGIT.findall(text[s:e]))
-                if digits > 16:
+        plain, base = "(" not in run and ")" not in run, m.start()
+        for i, (s, _, _) in enumerate(parts):
+            digits = 0
+            for _, e, n in parts[i:]:
+                digits += n
+                if digits > MOST_DIGITS:
                     break
-                if digits < 5:
+                if digits < LEAST_DIGITS:
                     continue
-                if text[s:e].count("(") == text[s:e].count(")"):
-                    found.add((s, e, "id_number"))
-                    if digits >= 7:
-                        found.add((s, e, "phone"))
+                b = s
+                if not plain:
+                    more = run.count("(", s, e) - run.count(")", s, e)
+                    b += more == 1 and run[s] == "("  # a bracket around the whole is not part of it
+                    if more - (b - s):
+                        continue
+                found.add((base + b, base + e, "id_number"))
+                if digits >= 7:
+                    found.add((base + b, base + e, "phone"))
+
+
+def _titled(text: str, at: int) -> bool:
+    before = TOKEN.findall(text[max(0, at - 24) : at])
+    return bool(before) and CUE.get(before[-2 if before[-1] == "." and len(before) > 1 else -1].casefold()) == "title"
+
+
+def _names(text: str, found: set[tuple[int, int, str]]) -> None:
     for m in NAMES.finditer(text):
-        parts = [(m.start() + p.start(), m.start() + p.end()) for p in PIECE.finditer(m.group())]
-        if len(parts) == 1:
-            before = TOKEN.findall(text[max(0, m.start() - 12) : m.start()])
-            if not before or CUE.get(before[-2 if before[-1] == "." and len(before) > 1 else -1].casefold()) != "title":
-                continue
-        for i, (s, _) in enumerate(parts):
-            titled = i and CUE.get(text[parts[i - 1][0] : parts[i - 1][1]].casefold()) == "title"
-            for _, e in parts[i + (len(parts) > 1 and not titled) : i + 5]:
-                if not text[s:e].endswith(".") or re.search(rf"[{UPPER}]\.$", text[s:e]):
-                    found.add((s, e, "name"))
+        run, base = m.group(), m.start()
+        if " " not in run:
+            led = LED_BY.search(text, max(0, base - 12), base) if base else None
+            if run.casefold() not in GIVEN:
+                at = led.start() if led else base
+                before = TOKEN.findall(text[max(0, at - 24) : at])
+                cue = CUE.get(before[-2 if before[-1] in ".:," and len(before) > 1 else -1].casefold()) if before else None
+                if cue not in ("title", "person"):
+                    continue
+            found.add((base, m.end(), "name"))
+            if led:
+                found.add((led.start(), m.end(), "name"))
+            continue
+        parts = [(p.start(), p.end(), p.group()) for p in PIECE.finditer(run)]
+        if base and (p := LED_BY.search(text, max(0, base - 12), base)) and _titled(text, p.start()):
+            found.update((p.start(), base + e, "name") for _, e, last in parts[:3] if not last.endswith("."))
+        for i, (s, _, first) in enumerate(parts):
+            alone = not i or CUE.get(parts[i - 1][2].casefold().rstrip(".")) in ("title", "person") or first.casefold() in GIVEN
+            if i and s - parts[i - 1][1] > 2 and CUE.get(parts[i - 1][2].casefold().rstrip(".")) == "title":  # with the particle that stands before
+                found.update((base + parts[i - 1][1] + 1, base + e, "name") for _, e, last in parts[i : i + 3] if not last.endswith("."))
+            for _, e, last in parts[i + (not alone) : i + 5]:
+                if not last.endswith(".") or INITIAL_END.search(last):
+                    if e - s == len(first) and i == 0 and first.casefold() not in GIVEN:
+                        continue
+                    found.add((base + s, base + e, "name"))
+    if not text.isascii():
+        for m in HAN.finditer(text):
+            for n in (2, 3):
+                if text[m.start() + 1 : m.start() + n].isalpha():
+                    found.add((m.start(), m.start() + n, "name"))
+
+
+def candidates(text: str) -> list[tuple[int, int, str]]:
+    """Liberal proposals (start, end, kind), sorted; several boundaries for each place."""
+    found: set[tuple[int, int, str]] = set()
+    _emails(text, found)
+    _addresses(text, found)
+    _numbers(text, found)
+    _names(text, found)
     return sorted(found)
 
 
-def _context(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
-    left = [t.casefold() for t in TOKEN.findall(text[max(0, start - 60) : start])[-4:]]
-    right = [t.casefold() for t in TOKEN.findall(text[end : end + 40])[:3]]
-    return ["^"] * (4 - len(left)) + left, right + ["$"] * (3 - len(right))
-
-
-def features(text: str, start: int, end: int, kind: str) -> list[str]:
-    """Whole-span features of one candidate, each for its kind."""
-    s = text[start:end]
-    left, right = _context(text, start, end)
-    line = text[max(0, start - 1) : start] in ("", "\n")
-    cues = [CUE.get(w, "") for w in left]
-    right = [re.sub(r"\d", "9", w)[:6] if w[:1].isdigit() else w for w in right]
-    left = [re.sub(r"\d", "9", w)[:6] if w[:1].isdigit() else w for w in left]
-    near = next((c for c in reversed(cues) if c), "")
-    out = ["b", f"l1={left[3]}", f"l2={left[2]} {left[3]}", f"l0={left[2]}", f"near={near}", f"r1={right[0]}", f"r2={right[0]} {right[1]}", f"line={line}"]
-    out += {f"c={c}" for c in cues if c}
-    after = CUE.get(right[0], "") or CUE.get(right[1], "")
-    out.append(f"ra={after}")
-    if kind == "name":
-        shape = _name_shape(s)
-        pieces = PIECE.findall(s)
-        out += [f"s={shape}", f"s={shape}&near={near}", f"n={len(pieces)}", f"first={pieces[0].casefold()}" if pieces else "first=", f"last={pieces[-1].casefold()}" if pieces else "last="]
-        out += [f"lex={CUE[w]}" for p in pieces for w in (p.casefold().rstrip("."),) if w in CUE]
-        around = [c for c in text[max(0, start - 16) : start] + text[end : end + 16] if c.isalpha()]
-        out += [f"caps={sum(p.isupper() and len(p) > 2 for p in pieces)}/{min(3, len(pieces))}", f"short={any(p.isupper() and 2 <= len(p) <= 4 for p in pieces)}"]
-        out.append(f"around={bool(around) and sum(map(str.isupper, around)) > 0.8 * len(around)}")
-        out += ["street"] if any(p.casefold().rstrip(".") in STREET_WORDS for p in pieces) else []
-        out += ["more"] if re.match(rf",? ?[{UPPER}][^\W\d_]", text[end : end + 4]) else []
-        out += ["part"] if re.search(rf"[{UPPER}][^\W\d_]+\.? $|[{UPPER}]\. $", text[max(0, start - 20) : start]) else []
-        out.append("sent" if text[max(0, start - 2) : start].strip() in ("", ".", "!", "?", ":") else "mid")
-    elif kind in ("phone", "id_number"):
-        digits = len(DIGIT.findall(s))
-        shape = _shape(s)
-        head = "+" if s[0] == "+" else "(" if s[0] == "(" else "00" if s.startswith("00") else "0" if s[0] == "0" else "1-" if s.startswith("1-") else "A" if s[0].isalpha() else "d"
-        out += [f"s={shape}", f"d={digits}", f"h={head}", f"h={head}&d={digits}", f"s={shape}&near={near}", f"near={near}&h={head}"]
-        prefix = re.match(r"[A-Z]+", s)
-        out += [f"p={prefix.group()}"] if prefix else []
-        out.append(f"cut={text[start - 2 : start].strip()[-1:].isalnum() if start else False}{bool(re.match(r'[ ./()–-]{1,3}[0-9]', text[end : end + 4]))}")
-    elif kind == "address":
-        tail = re.split(r",", s)[-1].strip()
-        out += [f"t={_shape(re.sub(r'[^\W\d_]+', lambda m: 'Aa' if m.group()[0].isupper() and not m.group().isupper() else m.group()[:2], tail))[:24]}", f"parts={s.count(',')}"]
-        out += [f"zip={bool(re.search(r'[A-Z]{1,2}[0-9]{1,2} [0-9][A-Z]{2}$|[A-Z]{2} [0-9]{5}$|[0-9]{4,5} [^,]+$', s))}"]
-        out += [f"on={bool(re.match(rf',? ?(?:[{UPPER}0-9])', text[end : end + 3]))}", f"flat={bool(re.search(FLAT + '$', s))}"]
-        out.append(f"stop={text[end : end + 1]}")
-    else:
-        out += [f"at={'@' in s}", f"dots={len(re.findall(DOT, s))}", f"tail={re.split(DOT, s)[-1].casefold()[:8]}"]
-        out += [f"sp={' ' in s}", f"part={text[max(0, start - 1) : start] in '._+-' and start > 0}"]
-    return [f"{kind}|{f}" for f in out]
+class Around:
+    """Features of the places of one text, each place looked at once."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.lefts: dict[int, tuple[list[str], str, str]] = {}
+        self.rights: dict[int, list[str]] = {}
+
+    def left(self, start: int) -> tuple[list[str], str, str]:
+        """Features of what stands before, the nearest cue, and whether a sentence begins."""
+        got = self.lefts.get(start)
+        if got is None:
+            text = self.text
+            toks = [t.casefold() for t in TOKEN.findall(text[max(0, start - 60) : start])[-4:]]
+            toks = ["^"] * (4 - len(toks)) + toks
+            cues = [CUE.get(w, "") for w in toks]
+            near = next((c for c in reversed(cues) if c), "")
+            w = [t.translate(DIGITS9)[:6] if t[:1].isdigit() else t for t in toks]
+            before = text[max(0, start - 2) : start]
+            fs = [f"l1={w[3]}", f"l2={w[2]} {w[3]}", f"l0={w[2]}", f"near={near}", f"line={before[-1:] in ('', chr(10))}", *sorted({f"c={c}" for c in cues if c})]
+            got = self.lefts[start] = (fs, near, "sent" if before.strip() in ("", ".", "!", "?", ":") else "mid")
+        return got
+
+    def right(self, end: int) -> list[str]:
+        got = self.rights.get(end)
+        if got is None:
+            toks = [t.casefold() for t in TOKEN.findall(self.text[end : end + 40])[:3]]
+            toks += ["$"] * (3 - len(toks))
+            w = [t.translate(DIGITS9)[:6] if t[:1].isdigit() else t for t in toks]
+            got = self.rights[end] = [f"r1={w[0]}", f"r2={w[0]} {w[1]}", f"ra={CUE.get(toks[0], '') or CUE.get(toks[1], '')}"]
+        return got
+
+    def number(self, start: int, end: int) -> tuple[str, str, str, str, bool]:
+        """All that the features of a number depend on: its shape, how it begins, the nearest cue, what it continues and goes on with."""
+        text = self.text
+        one, two = text[max(0, start - 1) : start], text[max(0, start - 2) : max(0, start - 1)]
+        joined = "code" if one in ("-", "/", ".", "–") and two.isalnum() else "number" if (one if one.strip() else two).isdigit() else ""
+        s = text[start:end]
+        c = s[0]
+        head = c if c in "+(" else "00" if s.startswith("00") else "0" if c == "0" else "1-" if s.startswith("1-") else "A" if c.isalpha() else "d"
+        return s.translate(SHAPES), head, self.left(start)[1], joined, NUMBER_AFTER.match(text, end, end + 4) is not None
+
+    def whole(self, start: int, end: int, kind: str) -> list[str]:
+        """Features of the whole span with its surroundings."""
+        text, s = self.text, self.text[start:end]
+        near = self.left(start)[1]
+        if kind == "name":
+            pieces = PIECE.findall(s) or [s]
+            shape = _name_shape(s, pieces)
+            low = [p.casefold().rstrip(".") for p in pieces]
+            around = [c for c in text[max(0, start - 16) : start] + text[end : end + 16] if c.isalpha()]
+            out = ["b", f"s={shape}", f"s={shape}&near={near}", f"n={len(pieces)}", f"first={low[0]}", f"last={low[-1]}", f"f3={low[0][-3:]}", f"e3={low[-1][-3:]}"]
+            out += [f"lex={CUE[w]}" for w in low if w in KNOWN_CUES]
+            out += [f"caps={sum(p.isupper() and len(p) > 2 for p in pieces)}/{min(3, len(pieces))}", f"short={any(p.isupper() and 2 <= len(p) <= 4 for p in pieces)}"]
+            out.append(f"around={bool(around) and sum(map(str.isupper, around)) > 0.8 * len(around)}")
+            out.append(f"given={''.join('y' if w in GIVEN else 'n' for w in low[:3])}")
+            if any(w in STREET_SET for w in low):
+                out.append("street")
+            if NEXT_NAME.match(text, end, end + 4):
+                out.append("more")
+            if NAME_BEFORE.search(text[max(0, start - 20) : start]):
+                out.append("part")
+            out.append(self.left(start)[2])
+            if pieces == [s] and ord(s[0]) >= 0x4E00:
+                out.append(f"han={text[start - 1 : start]}|{text[end : end + 1]}")
+            return out
+        if kind in ("phone", "id_number"):
+            return _number_features(*self.number(start, end))
+        if kind == "address":
+            tail = s.rsplit(",", 1)[-1].strip()
+            words = " ".join(w if w.isdigit() or w.isupper() else "Aa" if w[:1].isupper() else w[:3] for w in tail.split()).translate(SHAPES)
+            return ["b", f"t={words[:24]}", f"parts={s.count(',')}", f"zip={bool(ZIP.search(s))}", f"on={bool(GOES_ON.match(text, end, end + 3))}", f"flat={bool(FLAT_END.search(s))}", f"stop={text[end : end + 1]}", f"zip={bool(ZIP.search(s))}&on={bool(GOES_ON.match(text, end, end + 3))}"]
+        dots = DOTS.findall(s)
+        return ["b", f"at={'@' in s}", f"dots={min(5, len(dots))}", f"tail={len(DOTS.split(s)[-1])}", f"sp={' ' in s}", f"part={text[max(0, start - 1) : start] in '._+-' and start > 0}", f"more={bool(re.match(r'\.[^\W_]', text[end : end + 2]))}"]
+
+
+STREET_SET = frozenset(STREET_WORDS)
+
+
+def _number_features(shape: str, head: str, near: str, joined: str, goes_on: bool) -> list[str]:
+    digits, letters = shape.count("d"), len(shape) - len(shape.lstrip("A"))
+    out = ["b", f"s={shape}", f"d={digits}", f"h={head}", f"h={head}&d={digits}", f"s={shape}&near={near}", f"near={near}&h={head}", f"near={near}&d={digits}"]
+    out += [f"k={digits == len(shape)}{len(set(shape) - set('dAa'))}", f"cut={joined}{goes_on}"]
+    return [*out, f"p={letters}"] if letters else out
+
+
+def features(text: str, start: int, end: int, kind: str, around: Around | None = None) -> list[str]:
+    """All features of one candidate, each for its kind."""
+    a = around or Around(text)
+    return [f"{kind}|{f}" for f in (*a.left(start)[0], *a.right(end), *a.whole(start, end, kind))]
 
 
 def _gap(text: str, a: int, b: int) -> str:
@@ -194,10 +330,27 @@ def _gap(text: str, a: int, b: int) -> str:
 
 
 class SegmentCRF:
-    """Scores, training lattice and decoding over candidate segments."""
+    """Scores and decoding over candidate segments; features are joint, so their parts are added up once for each place."""
 
     def __init__(self, weights: dict[str, float] | None = None):
         self.w = {} if weights is None else weights
+        self.by_kind: dict[str, dict[str, float]] | None = None
+        self.numbers: dict[tuple, float] = {}
+
+    def _kinds(self) -> dict[str, dict[str, float]]:
+        by: dict[str, dict[str, float]] = {k: {} for k in KINDS}
+        base: dict[str, float] = {}
+        gap: dict[str, float] = {}
+        for f, v in self.w.items():
+            if ">" in f[:20] and f.partition(">")[0] in by:
+                pair, sep, _ = f.partition("|")
+                (gap if sep else base)[pair] = max(v, (gap if sep else base).get(pair, 0.0))
+        self.lift = 2 * max([0.0, *(base.get(p, 0.0) + max(0.0, gap.get(p, 0.0)) for p in base.keys() | gap.keys())])
+        for f, v in self.w.items():
+            kind, sep, rest = f.partition("|")
+            if sep and kind in by:
+                by[kind][rest] = v
+        return by
 
     def score(self, fs: list[str]) -> float:
         get = self.w.get
@@ -206,17 +359,46 @@ class SegmentCRF:
     def link(self, text: str, a: tuple[int, int, str], b: tuple[int, int, str]) -> list[str]:
         return [f"{a[2]}>{b[2]}", f"{a[2]}>{b[2]}|{_gap(text, a[1], b[0])}"]
 
+    def scores(self, text: str, cs: list[tuple[int, int, str]]) -> list[float]:
+        """The score of each candidate."""
+        if self.by_kind is None:
+            self.by_kind = self._kinds()
+        around, sides, out, numbers = Around(text), {}, [], self.numbers
+        for start, end, kind in cs:
+            get = self.by_kind[kind].get
+            left = sides.get((start, kind, 0))
+            if left is None:
+                left = sides[(start, kind, 0)] = sum([get(f, 0.0) for f in around.left(start)[0]])
+            right = sides.get((end, kind, 1))
+            if right is None:
+                right = sides[(end, kind, 1)] = sum([get(f, 0.0) for f in around.right(end)])
+            if kind in ("phone", "id_number"):
+                key = (kind, *around.number(start, end))
+                whole = numbers.get(key)
+                if whole is None:
+                    if len(numbers) > 200_000:
+                        numbers.clear()
+                    whole = numbers[key] = sum([get(f, 0.0) for f in _number_features(*key[1:])])
+            else:
+                whole = sum([get(f, 0.0) for f in around.whole(start, end, kind)])
+            out.append(left + right + whole)
+        return out
+
     def decode(self, text: str) -> list[tuple[int, int, str]]:
         """The best set of segments that do not overlap."""
         cs = candidates(text)
         if not cs:
             return []
-        cs.sort(key=lambda c: (c[1], c[0]))
+        owns = self.scores(text, cs)
+        # A candidate that its neighbours cannot lift above nothing is in no best set.
+        kept = sorted((c[1], c[0], c[2], own) for c, own in zip(cs, owns, strict=True) if own + self.lift > 0)
+        if not kept:
+            return []
+        cs, owns = [(s, e, k) for e, s, k, _ in kept], [own for *_, own in kept]
         ends: list[int] = []
         best: list[tuple[float, int]] = []  # best total of candidates up to here, and which ends it
         total: list[tuple[float, int]] = []
-        for c in cs:
-            own = self.score(features(text, *c))
+        for c, own in zip(cs, owns, strict=True):
             i = bisect_right(ends, c[0] - NEAR - 1)
             v, back = best[i - 1] if i else (0.0, -1)
             if v < 0:
@@ -283,4 +465,5 @@ def replace_personal(documents: DataFrame) -> DataFrame:
             rows.append((redact(t, spots) if isinstance(t, str) else None, len(spots)))
         return pd.DataFrame(rows, columns=["redacted", "spots"])
 
-    return documents.withColumn("__r", replaced("text")).select(*[documents[c] for c in documents.columns if c not in ("redacted", "spots")], "__r.*")
+    others = [c for c in documents.columns if c not in ("redacted", "spots")]
+    return spread(documents.select(*others)).withColumn("__r", replaced("text")).select(*others, "__r.*")
