@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrain.llm.lookalikes import representatives, rewriter
+from casegrain.operators.joins import salted_join
 from casegrain.session import spread
 
 GRAM, WINDOW = 4, 3
@@ -121,7 +122,7 @@ class Items:
         return f[i] == g
 
 
-def runs(h: np.ndarray, items: Items) -> dict[int, list[tuple[int, int, int]]]:
+def runs(h: np.ndarray, items: Items, least_words: int = LEAST_WORDS) -> dict[int, list[tuple[int, int, int]]]:
     """item -> maximal shared runs of three words or more: (start in document, start in item, words)."""
     g = grams(h, 3)
     if not len(g) or not len(items.gram3):
@@ -142,7 +143,7 @@ def runs(h: np.ndarray, items: Items) -> dict[int, list[tuple[int, int, int]]]:
     of, a, b = item[start], j[start], p[start]
     total = np.bincount(of, weights=length, minlength=len(items.ids))
     out: dict[int, list[tuple[int, int, int]]] = {}
-    for k in np.flatnonzero(total >= SHARED * np.minimum(LEAST_WORDS, [len(w) for w in items.words])):
+    for k in np.flatnonzero(total >= SHARED * np.minimum(least_words, [len(w) for w in items.words])):
         m = of == k
         out[int(k)] = list(zip(a[m].tolist(), b[m].tolist(), length[m].tolist(), strict=True))
     return out
@@ -181,7 +182,7 @@ def best_chain(found: list[tuple[int, int, int]]) -> tuple[int, int, int, int]:
 def chains(h: np.ndarray, items: Items, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int, int, int]]:
     """(item, words shared, words spanned, start and end in the document) of every item with enough words in ``h``."""
     cases = []
-    for k, found in runs(h, items).items():
+    for k, found in runs(h, items, least_words).items():
         shared, span, begin, end = best_chain(found)
         need = min(least_words, len(items.words[k]))
         if span >= need and shared >= SHARED * span:
@@ -328,8 +329,8 @@ def _joined(docs: DataFrame, tests: DataFrame, gram: int, window: int, least_wor
         hit = docs.join(_meet(fingerprints(docs, "doc_key", gram, window, few), right).select("doc_key").distinct(), "doc_key", "left_semi")
     left = _counted(hit, "doc_key", (3, *short)).drop("size")
     met = _meet(left, _counted(tests, "item_key").withColumnRenamed("times", "often")).groupBy("doc_key", "item_key").agg(F.sum(F.col("times") * F.col("often")).alias("n"), F.first("size").alias("size"))
-    pairs = met.where(3 * F.col("n") >= SHARED * F.least(F.lit(LEAST_WORDS), "size")).select("doc_key", "item_key")
-    texts = pairs.join(tests.withColumnRenamed("text", "item_text").hint("shuffle_hash"), "item_key").join(docs, "doc_key")
+    pairs = met.where(3 * F.col("n") >= SHARED * F.least(F.lit(least_words), "size")).select("doc_key", "item_key")
+    texts = salted_join(pairs, tests.withColumnRenamed("text", "item_text"), ["item_key"], ["doc_key"]).join(docs, "doc_key")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

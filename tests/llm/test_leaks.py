@@ -130,3 +130,19 @@ def test_both_ways_agree_on_like_and_short_items(spark):
 
 def test_hash_is_stable():
     assert L.hash_words(["abc"])[0] == np.uint64(L.xxhash.xxh64_intdigest("abc"))
+
+
+def test_fewer_least_words_both_ways(spark):
+    d = spark.createDataFrame([(0, around(ITEM[20:32])), (1, around(ITEM[20:31])), (2, around(ITEM))], "doc_id long, text string")
+    t = spark.createDataFrame([(1, " ".join(ITEM))], "item_id long, text string")
+    for most in (L.BROADCAST_FINGERPRINTS, 0):
+        got = {r["doc_id"]: r["spanned_words"] for r in L.find_leaks(d, t, least_words=12, broadcast_fingerprints=most).collect()}
+        assert got == {0: 12, 2: 60}
+
+
+def test_a_stock_sentence_in_a_third_of_the_documents(spark):
+    docs = [around([*NOISE[i % 50 : i % 50 + 30], *(STOCK.split() if i % 3 == 0 else []), *(ITEM if i == 7 else [])]) for i in range(600)]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    t = spark.createDataFrame([(i, " ".join([*(ITEM if i == 1 else VOCAB[1000 + 40 * i : 1040 + 40 * i]), *STOCK.split()])) for i in range(40)], "item_id long, text string")
+    for most in (L.BROADCAST_FINGERPRINTS, 0):
+        assert [tuple(r)[:2] for r in L.find_leaks(d, t, broadcast_fingerprints=most).collect()] == [(7, 1)]
