@@ -46,6 +46,8 @@ LOOKALIKE_LETTERS = {
     "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M",
     "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
 }
+# Letters that pass for a Latin one only among Latin letters; alone or in a word of their script they stand for themselves.
+INSIDE_LATIN = {"к": "k", "т": "t", "м": "m", "п": "n", "ɡ": "g", "ɑ": "a", "ι": "i", "υ": "u", "χ": "x"}
 # Small Greek letters that stand for themselves when no Latin letter touches them.
 GREEK_SYMBOLS = "νρ"
 # Hyphens that look like the plain one, and code points that show nothing but are not of category Cf.
@@ -53,8 +55,27 @@ HYPHENS = "‐‑﹣－"
 UNSEEN = "͏ᅟᅠ឴឵᠋᠌᠍᠏⠀ㅤﾠ"
 # The kinds of compatibility form a reader cannot tell from the plain characters.
 TAGS = ("<wide>", "<narrow>", "<font>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>")
-# Hangul syllables compose by arithmetic and carry no detached accents.
+# Hangul syllables compose by arithmetic, so their classes are not listed: detached letters are composed in the text.
 HANGUL = range(0xAC00, 0xD7A4)
+JAMO = re.compile("[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|[\uac00-\ud7a3][\u11a8-\u11c2]")
+
+
+def _mark_clusters() -> re.Pattern:
+    """A letter with accents in an order or company that single patterns do not cover: two marks or more, or one on a letter not of ASCII."""
+    marks, start, ranges = [cp for cp in range(0x300, 0x20000) if ud.combining(chr(cp))], None, []
+    for cp in marks:
+        if start is None or cp != ranges[-1][1] + 1:
+            ranges.append([cp, cp])
+            start = cp
+        else:
+            ranges[-1][1] = cp
+    m = "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+    return re.compile(f"[^\\W\\d_{m}][{m}]{{2,}}|[^\\W\\d_\x00-\x7f{m}][{m}]")
+
+
+CLUSTERS = _mark_clusters()
+# Only a text with one of these can need composing.
+PARTS = frozenset(chr(cp) for cp in range(0x300, 0x20000) if ud.combining(chr(cp)) or 0x1161 <= cp <= 0x11C2)
 
 
 class UnionFind:
@@ -85,7 +106,7 @@ def _invisible(ch: str) -> bool:
 def equal_pairs() -> Iterator[tuple[str, str]]:
     """Pairs of strings that look the same, by rule over all assigned code points, then by the letter table."""
     for cp in range(0x80, sys.maxunicode + 1):
-        if cp in HANGUL or 0xD800 <= cp < 0xE000 or 0xF900 <= cp < 0xFB00 or 0x20000 <= cp < 0xE0000:
+        if cp in HANGUL or 0xD800 <= cp < 0xE000 or 0x20000 <= cp < 0x2F800 or 0x2FA20 <= cp < 0xE0000:
             continue
         ch = chr(cp)
         cat = ud.category(ch)
@@ -110,6 +131,7 @@ def equal_pairs() -> Iterator[tuple[str, str]]:
                 if not (plain.startswith(" ") and len(plain) > 1):
                     yield ch, plain
     yield from LOOKALIKE_LETTERS.items()
+    yield from INSIDE_LATIN.items()
 
 
 def is_plain(s: str) -> bool:
@@ -174,12 +196,21 @@ def _script(ch: str) -> str:
     return ud.name(ch, "?").split(" ", 1)[0]
 
 
+def _nfc(m: re.Match) -> str:
+    return ud.normalize("NFC", m.group())
+
+
+def _composed(text: str) -> str:
+    """Hangul letters in syllables, accents in canonical order and as far as possible within their letter."""
+    return text if PARTS.isdisjoint(text) else CLUSTERS.sub(_nfc, JAMO.sub(_nfc, text))
+
+
 class Rewriter:
     """Rewrites texts into the representatives' form; built once per worker from the table of ``representatives``."""
 
     def __init__(self, table: dict[str, str]):
         self.table = table
-        self.foreign = {a: table[a] for a in LOOKALIKE_LETTERS if a in table}
+        self.foreign = {a: table[a] for a in (*LOOKALIKE_LETTERS, *INSIDE_LATIN) if a in table}
         self.auto = ahocorasick.Automaton()
         for a, b in table.items():
             if a not in self.foreign:
@@ -215,28 +246,31 @@ class Rewriter:
         for _, w in words:
             scripts = {_script(c) for c in w}
             if "LATIN" not in scripts:
-                certain |= {_script(c) for c in w if c not in self.foreign and len(w) > 1}
+                certain |= {_script(c) for c in w if (c not in self.foreign or c in INSIDE_LATIN) and len(w) > 1}
         kept: set[int] = set()
         for at, w in words:
             if not any(c in self.foreign for c in w):
                 continue
             latin = any(_script(c) == "LATIN" for c in w)
-            own = {_script(c) for c in w if c not in self.foreign} - {"LATIN"}
+            own = {_script(c) for c in w if c not in self.foreign or (c in INSIDE_LATIN and not latin)} - {"LATIN"}
             for i, c in enumerate(w):
                 if c not in self.foreign:
                     continue
                 s = _script(c)
+                if c in INSIDE_LATIN and not (latin and not own):
+                    kept.add(at + i)
+                    continue
                 if (s in own and (not latin or s != "GREEK")) or (not latin and (s in certain or (len(w) == 1 and c in GREEK_SYMBOLS))):
                     kept.add(at + i)
         return kept
 
     def __call__(self, text: str | None) -> str | None:
         """Null stays null. Ends because every round shortens the text or replaces members by representatives only."""
-        if text is None or text.isascii() or self.triggers.isdisjoint(text):
+        if text is None or text.isascii() or (self.triggers.isdisjoint(text) and PARTS.isdisjoint(text)):
             return text
         for _ in range(len(text) + 2):
             was = text
-            text = self._greedy(self.auto, text)
+            text = self._greedy(self.auto, _composed(text))
             if not self.foreign.keys().isdisjoint(text):
                 text = self._greedy(self.foreign_auto, text, self._kept(text))
             if text == was:

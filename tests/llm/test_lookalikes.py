@@ -1,6 +1,7 @@
 import unicodedata as ud
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -79,3 +80,14 @@ def test_in_spark(spark):
     want = Counter("".join(r[1] or "" for r in rows))
     assert {k: counts.get(k) for k in "CТа"} == {k: want.get(k) for k in "CТа"} and counts["b"] == 100_000
     assert L.make_consistent(df.limit(0), "v", "n").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("\u1112\u1161\u11ab\u1100\u116e\u11a8", "한국"), ("\uac00\u11a8", "각"), ("e\u0302\u0323", "ệ"), ("e\u0323\u0302", "ệ"), ("ê\u0323", "ệ"), ("\uf900", "\u8c48"), ("\U0002f800", "\u4e3d"),
+        ("кidney", "kidney"), ("metastaтic", "metastatic"), ("sιgn", "sign"), ("ɡlioma", "glioma"), ("кот", "кот"), ("TNFα and NFκB, ι-carrageenan, χ2", "TNFα and NFκB, ι-carrageenan, χ2"), ("– ‒ −", "– ‒ −"), ("Yılmaz", "Yılmaz"), ("лёгкого, пациент", "лёгкого, пациент"),
+    ],
+)
+def test_letters_marks_and_ideographs(text, want):
+    assert L.consistent_values([text]) == [want]
