@@ -61,7 +61,7 @@ JAMO = re.compile("[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|[\uac00-\ud7a3
 
 
 def _mark_clusters() -> re.Pattern:
-    """A letter with accents in an order or company that single patterns do not cover: two marks or more, or one on a letter not of ASCII."""
+    """A character with accents in an order or company that single patterns do not cover: two marks or more, or one on a letter not of ASCII."""
     marks, start, ranges = [cp for cp in range(0x300, 0x20000) if ud.combining(chr(cp))], None, []
     for cp in marks:
         if start is None or cp != ranges[-1][1] + 1:
@@ -70,7 +70,7 @@ def _mark_clusters() -> re.Pattern:
         else:
             ranges[-1][1] = cp
     m = "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
-    return re.compile(f"[^\\W\\d_{m}][{m}]{{2,}}|[^\\W\\d_\x00-\x7f{m}][{m}]")
+    return re.compile(f"[^{m}]?[{m}]{{2,}}|[^\x00-\x7f{m}][{m}]")
 
 
 CLUSTERS = _mark_clusters()

@@ -50,9 +50,11 @@ def test_ascii_is_left_alone(s):
 
 
 def brute(s):
-    """A plain rewriting for texts without foreign letters: longest member at the leftmost place, until nothing changes."""
+    """A plain rewriting for texts without foreign letters: accents in canonical order, then the longest member at the leftmost
+    place, until nothing changes."""
     t = L.representatives(PLAIN)
     while True:
+        s = ud.normalize("NFC", s)
         out, i = [], 0
         while i < len(s):
             n = next((n for n in (4, 3, 2, 1) if s[i : i + n] in t and len(s[i : i + n]) == n), 0)
