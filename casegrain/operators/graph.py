@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrain.functions.keys import ordered_pair, pair_key, uid_article, uid_case
+from casegrain.operators.batches import total_index
 
 
 def candidate_pairs(links: DataFrame) -> DataFrame:
@@ -26,19 +27,10 @@ def with_order(pairs: DataFrame) -> DataFrame:
 def indexed_pairs(pairs: DataFrame) -> DataFrame:
     """``pairs`` with pair_index: the position in the total numeric order, from 0.
 
-    A global row number would pass all rows through one task. Pairs are ranked within their first article instead, and the
-    articles' running offsets, one row per article, are added: the only single-task step sees counts, not pairs.
+    A global row number would pass all rows through one task, and one by article all of a hot article; the pairs are sorted by
+    range instead, and the offsets of the ranges added.
     """
-    p = with_order(pairs)
-    sizes = p.groupBy("__aa").agg(F.count(F.lit(1)).alias("n"))
-    bucket = sizes.withColumn("__bin", F.floor(F.col("__aa") / 4096))
-    bins = bucket.groupBy("__bin").agg(F.sum("n").alias("m"))
-    bins = bins.select("__bin", (F.sum("m").over(Window.orderBy("__bin")) - F.col("m")).alias("base"))
-    within = F.sum("n").over(Window.partitionBy("__bin").orderBy("__aa")) - F.col("n")
-    offsets = bucket.withColumn("inner", within).join(bins, "__bin").select("__aa", (F.col("base") + F.col("inner")).alias("offset"))
-    rank = F.row_number().over(Window.partitionBy("__aa").orderBy("__ac", "__ba", "__bc"))
-    out = p.withColumn("__r", rank).join(offsets, "__aa")
-    return out.withColumn("pair_index", (F.col("offset") + F.col("__r") - 1).cast("bigint")).select("pair_index", *pairs.columns)
+    return total_index(with_order(pairs), ORDER, "pair_index").select("pair_index", *pairs.columns)
 
 
 def pair_problems(pairs: DataFrame) -> DataFrame:

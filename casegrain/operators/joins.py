@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casegrain.operators.references import heavy_keys
+
 SALTS = 16
 BROADCAST_BYTES = 32 << 20  # of values as text; a hash table of them takes a few times that
 BROADCAST_ROWS = 500_000
@@ -24,6 +28,31 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: l
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
+def heavy_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: float = 0.005, fewest: int = 100_000) -> DataFrame:
+    """``left`` joined (inner or left) with ``right``, which has at most one row per key.
+
+    Keys with more than ``share`` of the rows of ``left``, at most ``1 / share`` of them, meet their row by broadcast and never
+    enter the shuffle; nor do rows with a null key, which match nothing.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"a heavy join cannot be {how}")
+    known = left
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    heavy = heavy_keys(known, keys, share, fewest=fewest)
+    others = [c for c in right.columns if c not in keys]
+    if heavy:
+        hot = F.broadcast(left.sparkSession.createDataFrame([tuple(h[k] for k in keys) for h in heavy], T.StructType([left.schema[k] for k in keys])))
+        out = known.join(hot, keys, "left_anti").join(right, keys, how).unionByName(known.join(hot, keys, "left_semi").join(F.broadcast(right.join(hot, keys, "left_semi")), keys, how))
+    else:
+        out = known.join(right, keys, how)
+    out = out.select(*left.columns, *others)
+    if how == "inner":
+        return out
+    missing = left.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+    return out.unionByName(missing.select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in others]))
+
+
 def fits_broadcast(df: DataFrame, most_bytes: int = BROADCAST_BYTES, most_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` is proven small, by its rows and the length of its values; meant for a table that is cheap to read."""
     size = F.lit(16 * len(df.columns))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casegrain.operators.joins import heavy_join
+
 RULESET = "human_animal_v1"
 
 # The words of each rule.
@@ -132,5 +134,5 @@ def pair_species(pairs: DataFrame, labels: DataFrame, key: str = "patient_uid")
     """Pairs with both ends' labels: human only if both are; a pair with an end that has no label is dropped (see missing_keys)."""
     a = labels.select(F.col(key).alias("case_a_uid"), F.col("final_label").alias("label_a"))
     b = labels.select(F.col(key).alias("case_b_uid"), F.col("final_label").alias("label_b"))
-    j = pairs.join(a, "case_a_uid").join(b, "case_b_uid")
+    j = heavy_join(heavy_join(pairs, a, ["case_a_uid"]), b, ["case_b_uid"])
     return j.withColumn("label", F.when((F.col("label_a") == "human") & (F.col("label_b") == "human"), "human").otherwise("animal"))

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrain.operators.finalize import FIELDS
+from casegrain.operators.joins import small_join
+from casegrain.session import Tables
 
 TAXONOMY = Path(__file__).parent.parent / "taxonomy.json"
 DASHES = str.maketrans(dict.fromkeys("‐‑‒–—−-", " "))
@@ -116,8 +118,8 @@ def labelled_pairs(pairs: DataFrame, spec: str | None = None) -> DataFrame:
     """``pairs`` (pair_index, pair_id and three phrases) with every phrase replaced by its labels; null phrases are "other"."""
     out = pairs.select("pair_index", "pair_id", *FIELDS)
     phrases = pairs.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("phrase")) for f in FIELDS])).alias("e")).select("e.*")
-    mapped = phrase_labels(phrases, spec)
+    mapped = Tables(pairs.sparkSession, "labels").keep(phrase_labels(phrases, spec), "phrases")
     for f in FIELDS:
         m = mapped.where(F.col("field") == f).select(F.col("phrase").alias(f), F.col("labels").alias(f"__{f}"))
-        out = out.join(m, f, "left").withColumn(f, F.coalesce(f"__{f}", F.array(F.lit("other")))).drop(f"__{f}")
+        out = small_join(out, m, [f], ["pair_index"], "left").withColumn(f, F.coalesce(f"__{f}", F.array(F.lit("other")))).drop(f"__{f}")
     return out

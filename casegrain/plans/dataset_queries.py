@@ -210,10 +210,9 @@ def q_title_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = latest(spark, sf_dir, "cases", "patient_uid")
     none = [F.lit(None).cast("string").alias(k) for k in citations.KINDS]
     articles = cases.select(F.col("patient_uid").alias("uid"), normal_title(F.col("title")).alias("title"), *none)
-    refs = latest(spark, sf_dir, "reference_metadata", "pmc_id", "ref_id").select("pmc_id", "ref_id", normal_title(F.col("title")).alias("title"), *none)
-    refs = cases.select(F.col("patient_uid").alias("uid"), "pmc_id").join(refs, "pmc_id").drop("pmc_id")
+    refs = latest(spark, sf_dir, "reference_metadata", "pmc_id", "ref_id").select(F.col("pmc_id").alias("uid"), "ref_id", normal_title(F.col("title")).alias("title"), *none)
     pairs = table(spark, sf_dir, "pairs").where("case_a_uid IS NOT NULL AND case_b_uid IS NOT NULL").select("pair_index", "case_a_uid", "case_b_uid").distinct()
-    return citations.match_citations(pairs, articles, refs)
+    return citations.match_citations(pairs, articles, refs, article_of=lambda uid: F.split_part(uid, F.lit("-"), F.lit(1)))
 
 
 CONTEXT_SQL = ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 'title:{n}' END" for n, p in species.CONTEXT.items())

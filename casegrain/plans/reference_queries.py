@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrain.operators.references import orphan_counts, orphan_references
+from casegrain.operators.references import orphan_references, orphan_report
 from casegrain.plans.registry import Registry
 from casegrain.session import table
 
@@ -24,8 +26,8 @@ def _refs(df: DataFrame, table_name: str, column: str, source_key, **keys) -> Da
     )
 
 
-def domain_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per orphan reference and delivery: table, column, key, month, reason."""
+def domain_references(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, DataFrame, list[tuple[str, str]]]]:
+    """References, their targets and the key columns of both, for each kind of reference."""
     pairs = table(spark, sf_dir, "pairs").select("pair_index", "case_a_uid", "case_b_uid", "recorded_at")
     ends = None
     for c in ("case_a_uid", "case_b_uid"):
@@ -42,11 +44,12 @@ def domain_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     citations = _refs(citations, "citations", "ref_id", F.col("pair_index"), article=article, target=F.col("ref_id"))
     listed = table(spark, sf_dir, "reference_metadata").select("pmc_id", "ref_id", "recorded_at", "withdrawn_at")
 
-    found = [
-        orphan_references(ends, cases, [("target", "patient_uid")], "ref_recorded_at"),
-        orphan_references(captions, images, [("target", "image_path")], "ref_recorded_at"),
-        orphan_references(citations, listed, [("article", "pmc_id"), ("target", "ref_id")], "ref_recorded_at"),
-    ]
+    return [(ends, cases, [("target", "patient_uid")]), (captions, images, [("target", "image_path")]), (citations, listed, [("article", "pmc_id"), ("target", "ref_id")])]
+
+
+def domain_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per orphan reference and delivery: table, column, key, month, reason."""
+    found = [orphan_references(refs, targets, keys, "ref_recorded_at") for refs, targets, keys in domain_references(spark, sf_dir)]
     cols = ["source_table", "source_column", "source_key", F.date_format("ref_recorded_at", PERIOD).alias("period"), "reason"]
     out = found[0].select(*cols)
     for f in found[1:]:
@@ -91,5 +94,6 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
          WHERE reason IS NOT NULL GROUP BY ALL""",
 )
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphans per table, column, month and reason."""
-    return orphan_counts(domain_orphans(spark, sf_dir))
+    """Orphans per table, column, month and reason; references are added up per key and month before they meet their targets."""
+    parts = [orphan_report(refs, targets, keys, ["source_table", "source_column"], ref_recorded="ref_recorded_at", period=PERIOD) for refs, targets, keys in domain_references(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, parts)

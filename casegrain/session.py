@@ -6,6 +6,7 @@ executors share (``spark.checkpoint.dir``), never with executor-local storage.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -32,10 +33,15 @@ def get_session(app: str = "casegrain", master: str | None = None, shuffle_parti
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one is set only where it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder is set in local mode only: on a cluster it would be another folder on each machine.
+    """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="casegrain-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -52,6 +58,7 @@ class Tables:
         self.spark = spark
         self.root = f"{work_dir(spark)}/casegrain-{label}-{uuid.uuid4().hex}"
         self.n = 0
+        _roots.append((spark, self.root))
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.n += 1
@@ -65,8 +72,28 @@ class Tables:
         for df in dfs:
             path = getattr(df, "casegrain_path", None)
             if path:
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                remove(self.spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of any Hadoop file system; a path that is not there is left."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_roots: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def clean_up() -> None:
+    """Removes the tables that results may still have been read from; also at the end of the driver's process."""
+    while _roots:
+        spark, root = _roots.pop()
+        try:
+            if spark.sparkContext._jsc is not None:
+                remove(spark, root)
+        except Exception:  # noqa: BLE001, S112  the session may be gone
+            continue
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import pytest
 
-from casegrain.operators.joins import fits_broadcast, salted_join, small_join
+from casegrain.operators.joins import fits_broadcast, heavy_join, salted_join, small_join
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -25,3 +25,14 @@ def test_small_side_is_measured(spark):
     for most in (1, 1 << 20):
         assert sorted(map(str, small_join(left, small, ["k"], ["n"], most_bytes=most).collect())) == plain
     assert fits_broadcast(small.limit(0), 0, 0)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_by_broadcast(spark, how):
+    left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}", i % 7) for i in range(300)] + [(900 + i, None, 1) for i in range(200)], "id int, k string, v int")
+    right = spark.createDataFrame([("hot", 1.5), ("k0", 2.5), ("k9", 3.5), ("zz", 4.5), (None, 5.5)], "k string, w double")
+    plain = sorted(map(repr, left.join(right, ["k"], how).select("id", "k", "v", "w").collect()))
+    out = heavy_join(left, right, ["k"], how, share=0.1, fewest=10)
+    assert sorted(map(repr, out.select("id", "k", "v", "w").collect())) == plain
+    assert sorted(map(repr, heavy_join(left, right, ["k"], how).select("id", "k", "v", "w").collect())) == plain
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()

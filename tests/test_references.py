@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from casegrain.operators.references import heavy_keys, orphan_counts, orphan_references, target_state
+from casegrain.operators.references import heavy_keys, orphan_counts, orphan_references, orphan_report, target_state
 
 T = "k string, recorded_at timestamp, withdrawn_at timestamp"
 REF = "id long, k string, seen timestamp, recorded_at string"  # a column whose name clashes with the target's
@@ -56,3 +56,17 @@ def test_state_of_composite_keys(spark):
     got = {(r["__t0"], r["__t1"], r["is_withdrawn"]) for r in target_state(df, ["x", "y"]).collect()}
     assert got == {("1", "a", False), ("1", "b", True)}
     assert target_state(df.where(F.lit(False)), ["x", "y"]).count() == 0
+
+
+def test_report_is_the_count_of_the_rows(spark):
+    refs = [(i, "hot" if i % 3 else f"k{i}", day(i % 20), "t") for i in range(900)] + [(1000 + i, None, day(2), "t") for i in range(30)] + [(7, "k7", None, "t"), (8, "hot", day(3), "u")]
+    refs += refs[:100]
+    targets = [("hot", day(10), None)] + [(f"k{i}", day(i % 7), day(8) if i % 5 == 0 else None) for i in range(0, 900, 6)]
+    r, t = spark.createDataFrame(refs, "id long, k string, seen timestamp, label string"), spark.createDataFrame(targets, T)
+    rows = orphan_references(r, t, [("k", "k")], "seen").withColumn("period", F.date_format("seen", "yyyy-MM"))
+    want = {tuple(x) for x in rows.groupBy("label", "period", "reason").agg(F.countDistinct("id").alias("n")).collect()}
+    for share in (0.1, 1.0):
+        out = orphan_report(r, t, [("k", "k")], ["label"], "id", "seen", heavy_share=share)
+        assert {(x["label"], x["period"], x["reason"], x["orphans"]) for x in out.collect()} == want and len(want) == 5
+    assert orphan_report(r.limit(0), t, [("k", "k")], ["label"], "id", "seen").count() == 0
+    assert {x["reason"] for x in orphan_report(r, t.limit(0), [("k", "k")], ["label"], "id", "seen").collect()} == {"absent"}
