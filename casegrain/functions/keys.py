@@ -1,7 +1,7 @@
 """Identifier expressions: article ids, case uids, pair keys, DOIs and the like, as Column expressions.
 
-Every function gives null for what it cannot normalise; ``sources.guards`` turns such nulls into errors where a step must
-fail closed. Numeric parts have at most 18 digits, so they fit a bigint.
+Every function gives null for what it cannot normalise; ``operators.constraints.require_none`` turns such rows into errors where
+a step must fail closed. Identifiers stay text of any length; numeric order holds up to 38 digits.
 """
 
 from __future__ import annotations
@@ -9,32 +9,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UID = r"(?i)^\s*(?:PMC)?0*(\d{1,18})[-_]0*(\d{1,18})\s*$"
-ARTICLE = r"(?i)^\s*(?:PMC)?(\d{1,18})\s*$"
+UID = r"(?i)^\s*(?:PMC)?0*(\d+)[-_]0*(\d+)\s*$"
+ARTICLE = r"(?i)^\s*(?:PMC)?0*(\d+)\s*$"
 
 
 def _digits(c: Column, pattern: str, group: int) -> Column:
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group).cast("bigint"))
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
 def article_id(c: Column) -> Column:
     """``PMC0123`` or ``123`` -> ``"123"``."""
-    return _digits(c, ARTICLE, 1).cast("string")
+    return _digits(c, ARTICLE, 1)
 
 
 def case_uid(c: Column, default_case: int | None = None) -> Column:
     """``PMC12_3``, ``12-3`` -> ``"12-3"``; with ``default_case`` a bare article id gets that case."""
-    whole = _digits(c, UID, 1).cast("string")
-    uid = F.concat(whole, F.lit("-"), _digits(c, UID, 2).cast("string"))
+    uid = F.concat(_digits(c, UID, 1), F.lit("-"), _digits(c, UID, 2))
     return uid if default_case is None else F.coalesce(uid, F.concat(article_id(c), F.lit(f"-{default_case}")))
 
 
 def uid_article(uid: Column) -> Column:
-    return F.split_part(uid, F.lit("-"), F.lit(1)).cast("bigint")
+    return F.split_part(uid, F.lit("-"), F.lit(1)).try_cast("decimal(38,0)")
 
 
 def uid_case(uid: Column) -> Column:
-    return F.split_part(uid, F.lit("-"), F.lit(2)).cast("bigint")
+    return F.split_part(uid, F.lit("-"), F.lit(2)).try_cast("decimal(38,0)")
 
 
 def uid_order(uid: Column) -> Column:
@@ -67,13 +66,13 @@ def normal_doi(c: Column) -> Column:
 def normal_pmid(c: Column) -> Column:
     """Digits lose their leading zeros; anything else is compared in lower case."""
     p = F.trim(F.regexp_replace(F.lower(F.trim(c)), r"^pmid:\s*", ""))
-    return F.when(p.rlike(r"^\d{1,18}$"), p.cast("bigint").cast("string")).when(p != "", p)
+    return F.when(p.rlike(r"^\d+$"), F.regexp_extract(p, r"^0*(\d+)$", 1)).when(p != "", p)
 
 
 def normal_pmcid(c: Column) -> Column:
     p = F.trim(F.regexp_replace(F.upper(F.trim(c)), r"^PMCID:\s*", ""))
-    n = F.regexp_extract(p, r"^(?:PMC)?(\d{1,18})$", 1)
-    return F.when(n != "", F.concat(F.lit("PMC"), n.cast("bigint").cast("string"))).when(p != "", p)
+    n = F.regexp_extract(p, r"^(?:PMC)?0*(\d+)$", 1)
+    return F.when(n != "", F.concat(F.lit("PMC"), n)).when(p != "", p)
 
 
 def article_of_path(path: Column) -> Column:

@@ -77,9 +77,10 @@ def numeric_label(c: Column) -> Column:
 
 
 def expand_citation(c: Column, widest: int = 1000) -> Column:
-    """Sorted distinct numbers of an expression like ``[3, 5–7]``; null unless it holds only digits and separators."""
+    """Sorted distinct numbers of an expression like ``[3, 5–7]``; null unless it holds only digits and separators, or if a number
+    has ten digits or more."""
     dash = r"\s*[-‐‑‒–—−]\s*"
-    only = c.rlike(r"^[\s\[\](){},;\d‐‑‒–—−-]+$") & c.rlike(r"\d")
+    only = c.rlike(r"^[\s\[\](){},;\d‐‑‒–—−-]+$") & c.rlike(r"\d") & ~c.rlike(r"\d{10}")
     parts = F.regexp_extract_all(F.regexp_replace(c, dash, "-"), F.lit(r"(\d{1,9}(?:-\d{1,9})?)"), 1)
 
     def numbers(p: Column) -> Column:

@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,28 +47,68 @@ def request_lines(requests: DataFrame, stage: str, order: list[str]) -> DataFram
     return rows.withColumn("custom_id", cid).withColumn("line", line).withColumn("line_bytes", (F.octet_length(line) + 1).cast("bigint"))
 
 
+def _next_starts(sizes: np.ndarray, most_bytes: int, most_requests: int) -> np.ndarray:
+    """For each line, where the next shard starts if one starts at it."""
+    if len(sizes) and sizes.max() > most_bytes:
+        raise ValueError(f"a request of {sizes.max()} bytes exceeds the limit of {most_bytes}")
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(len(sizes))
+    return np.minimum(np.searchsorted(ends, ends[:-1] + most_bytes, "right") - 1, at + most_requests)
+
+
 def assign_shards(lines: DataFrame, most_bytes: int = MOST_BYTES, most_requests: int = MOST_REQUESTS, per_task: int = 2_000_000) -> DataFrame:
     """(ordinal, shard, line_number): each shard is filled in order until the next line would exceed a limit.
 
-    Greedy filling depends on all lines before, so it is sequential; only ordinals and sizes take part, 16 bytes a line. They
-    are cut into runs of ``per_task`` lines that start a new shard, so the runs are filled in parallel and a shard number is
-    (run, position). A line beyond ``most_bytes`` fails the job.
+    Greedy filling depends on all lines before, yet only through the place where a shard starts. The lines, as ordinals and
+    sizes, are cut into runs of ``per_task``. Each run finds, for every line of its first ``most_requests`` at which a shard can
+    start, where the first shard behind the run starts; the driver follows one such number per run; then all runs are filled at
+    once. Ordinals are 0 to n - 1. A line beyond ``most_bytes`` fails the job.
     """
-    kind = "ordinal long, run long, shard int, line_number int"
-
-    def fill(run: pd.DataFrame) -> pd.DataFrame:
-        run = run.sort_values("ordinal", ignore_index=True)
-        shard, used, held, out = 0, 0, 0, []
-        for n in run["line_bytes"]:
-            if n > most_bytes:
-                raise ValueError(f"a request of {n} bytes exceeds the limit of {most_bytes}")
-            if held and (used + n > most_bytes or held >= most_requests):
-                shard, used, held = shard + 1, 0, 0
-            used, held = used + int(n), held + 1
-            out.append((shard, held))
-        return run.assign(shard=[x[0] for x in out], line_number=[x[1] for x in out])[["ordinal", "run", "shard", "line_number"]]
-
-    return lines.select("ordinal", "line_bytes", F.floor(F.col("ordinal") / per_task).alias("run")).groupBy("run").applyInPandas(fill, kind)
+    spark = lines.sparkSession
+    per_task = max(per_task, most_requests)
+    sized = lines.select("ordinal", F.col("line_bytes").cast("long").alias("line_bytes"))
+    n = sized.count()
+    runs = -(-n // per_task)
+    run = F.floor(F.col("ordinal") / per_task)
+
+    def borders(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("ordinal", ignore_index=True)
+        here = int(g["run"].iat[0]) * per_task
+        own = int((g["ordinal"] < here + per_task).sum())
+        after = _next_starts(g["line_bytes"].to_numpy(), most_bytes, most_requests)[:own].tolist()
+        out, count, last = [0] * own, [1] * own, list(range(own))
+        for i in range(own - 1, -1, -1):
+            j = after[i]
+            if j < own:
+                out[i], count[i], last[i] = out[j], count[j] + 1, last[j]
+            else:
+                out[i] = j - own
+        k = min(own, most_requests)
+        return pd.DataFrame({"run": here // per_task, "entry": range(k), "exit": out[:k], "shards": count[:k], "last": [here + x for x in last[:k]]})
+
+    starts = {0: (0, 0, 0)}  # run -> first start in it, shards before, start of the shard before
+    if runs > 1:
+        shared = F.when((F.col("ordinal") % per_task < most_requests) & (run > 0), F.array(run, run - 1)).otherwise(F.array(run))
+        ways = Tables(spark, "shards").keep(sized.withColumn("run", F.explode(shared)).groupBy("run").applyInPandas(borders, "run long, entry long, exit long, shards long, last long"), "borders")
+        for r in range(runs - 1):
+            entry, before, _ = starts[r]
+            w = ways.where((F.col("run") == r) & (F.col("entry") == entry)).first()
+            starts[r + 1] = (w["exit"], before + w["shards"], w["last"])
+
+    def fill(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("ordinal", ignore_index=True)
+        here = int(g["run"].iat[0])
+        entry, before, last = starts[here]
+        after = _next_starts(g["line_bytes"].to_numpy(), most_bytes, most_requests)
+        shard, first = np.full(len(g), before - 1), np.full(len(g), last)
+        i = entry
+        while i < len(g):
+            j = int(after[i])
+            shard[i:j], first[i:j] = before, here * per_task + i
+            i, before = j, before + 1
+        return pd.DataFrame({"ordinal": g["ordinal"], "shard": shard, "line_number": g["ordinal"] - first + 1})
+
+    return sized.withColumn("run", run).groupBy("run").applyInPandas(fill, "ordinal long, shard int, line_number int")
 
 
 def request_body(model: str, developer: Column, user: Column, effort: str | None = None) -> Column:
@@ -77,14 +118,14 @@ def request_body(model: str, developer: Column, user: Column, effort: str | None
 
 
 def write_shards(lines: DataFrame, shards: DataFrame, path: str) -> DataFrame:
-    """One JSON lines file per shard below ``path``, as run=<r>/shard=<s>/, and the index of all requests beside them.
+    """One JSON lines file per shard below ``path``, as shard=<s>/, and the index of all requests beside them.
 
     Each shard is sorted and written by one task; it is bounded by the shard limits. Returns the index.
     """
     rows = lines.join(shards, "ordinal")
-    out = rows.select("run", "shard", "ordinal", F.col("line").alias("value")).repartition("run", "shard").sortWithinPartitions("run", "shard", "ordinal")
-    out.drop("ordinal").write.partitionBy("run", "shard").text(f"{path}/shards")
-    index = rows.select("ordinal", "custom_id", "run", "shard", "line_number", "line_bytes", F.sha2(F.concat("line", F.lit("\n")), 256).alias("line_sha256"))
+    out = rows.select("shard", "ordinal", F.col("line").alias("value")).repartition("shard").sortWithinPartitions("shard", "ordinal")
+    out.drop("ordinal").write.partitionBy("shard").text(f"{path}/shards")
+    index = rows.select("ordinal", "custom_id", "shard", "line_number", "line_bytes", F.sha2(F.concat("line", F.lit("\n")), 256).alias("line_sha256"))
     index.write.parquet(f"{path}/index")
     return index.sparkSession.read.parquet(f"{path}/index")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casegrain.functions.keys import case_uid, uid_article
+from casegrain.functions.keys import case_uid
 
 LINK = T.ArrayType(T.StructType([T.StructField("dst", T.StringType()), T.StructField("score", T.StringType())]))
 LINKS = T.StructType([T.StructField("status", T.StringType()), T.StructField("links", LINK)])
@@ -52,6 +52,33 @@ def python_uid(text: str) -> str | None:
     return f"{int(a)}-{int(b)}" if a.isascii() and a.isdigit() and b.isascii() and b.isdigit() else None
 
 
+def python_uid_list(text: str | None) -> tuple[str, list[str]]:
+    """Status and the distinct uids, in numeric order, of a cell that lists uids: JSON first, then a Python list, tuple or set."""
+    if text is None or not text.strip() or text.strip().lower() == "nan":
+        return "missing", []
+    for parse in (json.loads, ast.literal_eval):
+        try:
+            parsed = parse(text.strip())
+            break
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            continue
+    else:
+        return "malformed", []
+    if not isinstance(parsed, list | tuple | set):
+        return "not_a_list", []
+    uids = {python_uid(x) if isinstance(x, str) else None for x in parsed}
+    if None in uids:
+        return "invalid_uids", []
+    return "ok", sorted(uids, key=lambda u: tuple(map(int, u.split("-"))))
+
+
+@F.pandas_udf(T.StructType([T.StructField("status", T.StringType()), T.StructField("uids", T.ArrayType(T.StringType()))]))
+def uid_list(s: pd.Series) -> pd.DataFrame:
+    """struct(status, uids) of a cell that lists uids; anything but a list gives no uids and says why."""
+    rows = [python_uid_list(x if isinstance(x, str) else None) for x in s]
+    return pd.DataFrame({"status": [r[0] for r in rows], "uids": [r[1] for r in rows]})
+
+
 def json_safe(v):
     """A JSON value: numbers that are not finite become null, tuples lists, other objects text."""
     if isinstance(v, float):
@@ -132,7 +159,7 @@ def parse_status_counts(raw: DataFrame) -> DataFrame:
 
 def single_patient_uids(uids: DataFrame) -> DataFrame:
     """The uids of articles that have one patient in the whole table."""
-    one = uids.select("uid").distinct().groupBy(uid_article(F.col("uid")).alias("article")).agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
+    one = uids.select("uid").distinct().groupBy(F.split_part("uid", F.lit("-"), F.lit(1)).alias("article")).agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
     return one.where("n = 1").select("uid")
 
 

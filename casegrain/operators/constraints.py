@@ -16,6 +16,22 @@ class ConfigurationError(ValueError):
     """Parameters or inputs are not what a step needs."""
 
 
+class StageOrderError(ValueError):
+    """A stage is run before what it needs is whole."""
+
+
+class ResponseError(ValueError):
+    """Responses are missing, unexpected or unusable."""
+
+
+class BatchStateError(ValueError):
+    """A batch is not in a state that allows the step."""
+
+
+class DiagramError(ValueError):
+    """An image cannot be judged."""
+
+
 def require_columns(df: DataFrame, names: list[str], label: str = "table") -> None:
     missing = sorted(set(names) - set(df.columns))
     if missing:

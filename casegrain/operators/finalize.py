@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casegrain.functions.text import modality_bucket, short_caption
+from casegrain.operators.batches import total_index
 
 FIELDS = ["modality", "anatomy", "diagnosis"]
 
@@ -100,3 +101,26 @@ def phrase_counts(records: DataFrame) -> DataFrame:
     """(field, phrase, n), trimmed; blanks left out."""
     e = records.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.trim(f).alias("phrase")) for f in FIELDS])).alias("e")).select("e.*")
     return e.where(F.col("phrase") != "").groupBy("field", "phrase").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequency_listing(counts: DataFrame) -> DataFrame:
+    """(field, position, phrase, n): the phrases of each field from the most frequent down, ties in order of the phrase, from 1."""
+    o = total_index(counts.select("field", "phrase", "n"), ["field", F.col("n").desc(), "phrase"], "at")
+    first = o.groupBy("field").agg(F.min("at").alias("first"))
+    return o.join(F.broadcast(first), "field").select("field", (F.col("at") - F.col("first") + 1).alias("position"), "phrase", "n")
+
+
+def unmatched_phrases(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The phrases (field, phrase, n) whose labels are "other" alone or none at all."""
+    j = counts.join(labels.select("field", "phrase", "labels"), ["field", "phrase"], "left")
+    return j.where(F.coalesce(F.size("labels"), F.lit(0)).isin(-1, 0) | (F.col("labels") == F.array(F.lit("other")))).select("field", "phrase", "n")
+
+
+def phrase_coverage(counts: DataFrame, unmatched: DataFrame, most_percent: float = 2.0) -> DataFrame:
+    """Per field: phrases and descriptions in all and unmatched, the unmatched share in percent, and whether it is below the limit."""
+    u = unmatched.select("field", "phrase", F.lit(1).alias("u"))
+    g = counts.join(u, ["field", "phrase"], "left").groupBy("field").agg(
+        F.count(F.lit(1)).alias("phrases"), F.sum("n").alias("descriptions"), F.coalesce(F.sum("u"), F.lit(0)).alias("unmatched_phrases"), F.coalesce(F.sum(F.when(F.col("u") == 1, F.col("n"))), F.lit(0)).alias("unmatched_descriptions")
+    )
+    g = g.withColumn("other_percent", F.round(100 * F.col("unmatched_descriptions") / F.col("descriptions"), 6))
+    return g.withColumn("within_limit", F.col("other_percent") < most_percent)

@@ -31,7 +31,7 @@ def coverage(figures: DataFrame, patients: DataFrame) -> DataFrame:
 
 def figure_order() -> list:
     """Sort key of the figure manifest: article, figure number, path."""
-    return [article_id(F.col("pmc_id")).cast("bigint"), figure_number(F.col("image_path")), F.col("image_path")]
+    return [article_id(F.col("pmc_id")).try_cast("decimal(38,0)"), figure_number(F.col("image_path")), F.col("image_path")]
 
 
 def asset_problems(figures: DataFrame, root: str = "new_data") -> DataFrame:

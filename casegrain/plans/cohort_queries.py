@@ -114,7 +114,7 @@ def q_pair_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.query("q_articles", "WITH" + NORMAL + "SELECT split_part(uid, '-', 1) AS article, count(DISTINCT uid) AS patients, max(CAST(split_part(uid, '-', 2) AS BIGINT)) AS last_case, count(*) AS \"rows\" FROM p GROUP BY ALL")
 def q_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = patients(spark, sf_dir).select(case_uid(F.col("patient_uid")).alias("uid")).where(F.col("uid").isNotNull())
-    return p.groupBy(uid_article(F.col("uid")).cast("string").alias("article")).agg(F.countDistinct("uid").alias("patients"), F.max(uid_case(F.col("uid"))).alias("last_case"), F.count(F.lit(1)).alias("rows"))
+    return p.groupBy(uid_article(F.col("uid")).cast("string").alias("article")).agg(F.countDistinct("uid").alias("patients"), F.max(uid_case(F.col("uid"))).cast("bigint").alias("last_case"), F.count(F.lit(1)).alias("rows"))
 
 
 @R.query("q_article_ids", r"SELECT DISTINCT pmc_id, CAST(CAST(regexp_extract(pmc_id, '(\d+)', 1) AS BIGINT) AS VARCHAR) AS article FROM images")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import fcntl
 import hashlib
+import io
 import json
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -45,7 +48,7 @@ def write_json_lines(df: DataFrame, path: str, order: list[str], single: bool =
     """Canonical JSON lines in a total order. Part files sort as the rows do, so reading them by name keeps the order;
     ``single`` makes one file, for small tables."""
     out = df.orderBy(*order).select(canonical_rows(df).alias("value"))
-    with publishing(path) as temporary:
+    with publishing_shared(df.sparkSession, path) as temporary:
         (out.coalesce(1) if single else out).write.mode("overwrite").text(temporary)
 
 
@@ -66,12 +69,34 @@ def publishing(path: str) -> Iterator[str]:
         shutil.rmtree(temporary, ignore_errors=True)
 
 
-def write_bytes(path: str, data: bytes) -> None:
-    """Atomically: a temporary sibling, synced, then renamed."""
+@contextmanager
+def publishing_shared(spark: SparkSession, path: str) -> Iterator[str]:
+    """``publishing`` for folders that executors write, on any Hadoop file system."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    target = make(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = fs.makeQualified(target)
+    if fs.exists(target) and (not fs.getFileStatus(target).isDirectory() or len(fs.listStatus(target))):
+        raise ConfigurationError(f"{path} is not empty")
+    temporary = make(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    try:
+        yield temporary.toString()
+        if fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(temporary, target):
+            raise IntegrityError(f"{path} could not be published")
+    finally:
+        if fs.exists(temporary):
+            fs.delete(temporary, True)
+
+
+@contextmanager
+def replacing(path: str) -> Iterator[io.BufferedWriter]:
+    """A file to write in place of ``path``: a temporary sibling, synced, then renamed."""
     fd, temporary = tempfile.mkstemp(dir=Path(path).parent)
     try:
         with os.fdopen(fd, "wb") as f:
-            f.write(data)
+            yield f
             f.flush()
             os.fsync(f.fileno())
         os.replace(temporary, path)
@@ -80,14 +105,25 @@ def write_bytes(path: str, data: bytes) -> None:
         raise
 
 
+def write_bytes(path: str, data: bytes) -> None:
+    with replacing(path) as f:
+        f.write(data)
+
+
 def write_json(path: str, value) -> None:
     write_bytes(path, (json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, allow_nan=False) + "\n").encode())
 
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """One CSV file of a small table, in order, ``\\n`` line ends."""
-    rows = df.orderBy(*order).toPandas()
-    write_bytes(path, rows.to_csv(index=False, lineterminator="\n").encode())
+    """One CSV file in order, ``\\n`` line ends; rows pass the driver one partition of the sort at a time."""
+    with replacing(path) as f:
+        text = io.TextIOWrapper(f, encoding="utf-8", newline="")
+        out = csv.writer(text, lineterminator="\n")
+        out.writerow(df.columns)
+        for r in df.orderBy(*order).toLocalIterator():
+            out.writerow(["" if v is None else v for v in r])
+        text.flush()
+        text.detach()
 
 
 def write_once(path: str, value) -> None:
@@ -181,15 +217,30 @@ def write_assets(figures: DataFrame, root: str) -> DataFrame:
     return figures.select("folder", "name", "image", "caption").mapInPandas(scan, "folder string, name string, written boolean")
 
 
+def file_digest(path: str | Path) -> bytes:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").digest()
+
+
 def snapshot(paths: list[str], root: str) -> str:
-    """Copies files into a folder named by their contents; a snapshot that exists is checked, not written again."""
-    parts = sorted((Path(p).read_bytes() for p in paths), key=lambda b: hashlib.sha256(b).hexdigest())
-    name = hashlib.sha256(b"".join(hashlib.sha256(b).digest() for b in parts)).hexdigest()
-    target = Path(root) / name
+    """Copies files into a folder named by their contents; a snapshot that exists is checked, not written again.
+
+    Files are hashed and copied in pieces, so their size does not matter to the driver's memory.
+    """
+    parts = sorted((file_digest(p), p) for p in paths)
+    target = Path(root) / hashlib.sha256(b"".join(d for d, _ in parts)).hexdigest()
     if not target.exists():
         with publishing(str(target)) as temporary:
-            for n, b in enumerate(parts):
-                write_bytes(f"{temporary}/{n:05d}.jsonl", b)
-    if [p.read_bytes() for p in sorted(target.glob("*.jsonl"))] != parts:
+            for n, (_, p) in enumerate(parts):
+                shutil.copyfile(p, f"{temporary}/{n:05d}.jsonl")
+    if [file_digest(p) for p in sorted(target.glob("*.jsonl"))] != [d for d, _ in parts]:
         raise IntegrityError(f"{target} does not hold what its name says")
     return str(target)
+
+
+def write_label_outputs(images: DataFrame, labels: DataFrame, unmatched: DataFrame, coverage: DataFrame, root: str) -> None:
+    """The files of a labelling: images.jsonl (a folder of parts), labels.jsonl, unmatched.csv in order of position, summary.json."""
+    write_json_lines(images, f"{root}/images.jsonl", ["image_id"])
+    write_json_lines(labels, f"{root}/labels.jsonl", ["field", "phrase"])
+    write_csv(unmatched, f"{root}/unmatched.csv", ["field", "position"])
+    write_json(f"{root}/summary.json", {r["field"]: {k: v for k, v in r.asDict().items() if k != "field"} for r in coverage.orderBy("field").collect()})

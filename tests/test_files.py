@@ -228,7 +228,7 @@ def test_shard_files_and_snapshot(spark, tmp_path):
     lines = batches.request_lines(df.withColumn("body", body), "citation", ["k"])
     assert json.loads(lines.first()["body"]).keys() == {"messages", "model"}
     index = batches.write_shards(lines, batches.assign_shards(lines, 10**6, 15), str(tmp_path / "out"))
-    files_made = sorted((tmp_path / "out/shards").glob("run=*/shard=*/*.txt"))
+    files_made = sorted((tmp_path / "out/shards").glob("shard=*/*.txt"))
     text = [[json.loads(x)["custom_id"] for x in f.read_text().splitlines()] for f in files_made]
     assert [len(t) for t in text] == [15, 15, 10] and sum(text, []) == [r["custom_id"] for r in index.orderBy("ordinal").collect()]
     kept = artifacts.snapshot([str(f) for f in files_made], str(tmp_path / "raw"))

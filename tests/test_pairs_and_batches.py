@@ -50,6 +50,9 @@ def test_shards_fill_in_order(spark):
         used, held = used + n, held + 1
         want.append((shard, held))
     assert got == want
+    for per_task in (6, 7, 50, 399):
+        assert [(r["shard"], r["line_number"]) for r in batches.assign_shards(lines, 300, 6, per_task).orderBy("ordinal").collect()] == want
+    assert batches.assign_shards(lines.limit(0)).count() == 0
 
 
 def test_requests_have_contiguous_ordinals(spark):
