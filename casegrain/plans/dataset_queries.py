@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casegrain.functions.keys import article_id, case_uid, figure_number
-from casegrain.functions.text import MODALITY_BUCKETS, bucket_words, collapse, modality_bucket, normal_title
+from casegrain.functions.text import MODALITY_BUCKETS, bucket_words, collapse, modality_bucket
 from casegrain.operators import batches, citations, cohort, constraints, finalize, merge, species, taxonomy
 from casegrain.plans.registry import Registry
 from casegrain.session import table
@@ -204,17 +204,6 @@ def q_author_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.where((F.col("n") == 1) & (F.col("surname") != "") & F.col("year").rlike(r"^(?:18|19|20|21)\d{2}$")).drop("n")
 
 
-@R.query("q_title_matches")
-def q_title_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations between paired cases by title, in both directions; tested against brute force."""
-    cases = latest(spark, sf_dir, "cases", "patient_uid")
-    none = [F.lit(None).cast("string").alias(k) for k in citations.KINDS]
-    articles = cases.select(F.col("patient_uid").alias("uid"), normal_title(F.col("title")).alias("title"), *none)
-    refs = latest(spark, sf_dir, "reference_metadata", "pmc_id", "ref_id").select(F.col("pmc_id").alias("uid"), "ref_id", normal_title(F.col("title")).alias("title"), *none)
-    pairs = table(spark, sf_dir, "pairs").where("case_a_uid IS NOT NULL AND case_b_uid IS NOT NULL").select("pair_index", "case_a_uid", "case_b_uid").distinct()
-    return citations.match_citations(pairs, articles, refs, article_of=lambda uid: F.split_part(uid, F.lit("-"), F.lit(1)))
-
-
 CONTEXT_SQL = ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 'title:{n}' END" for n, p in species.CONTEXT.items())
 SPECIES_SQL = ", ".join(f"CASE WHEN regexp_matches(t, '\\b(?:{p})\\b') THEN 'title:species:{n}' END" for n, p in species.SPECIES.items())
 
@@ -277,9 +266,16 @@ def q_level_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", batches.level_problem(F.col("text"), questions=False).alias("problem")).where("problem IS NOT NULL")
 
 
-@R.query("q_request_shards")
+@R.query("q_request_shards", r"""WITH RECURSIVE p AS (SELECT pair_index, min((case_a_uid, case_b_uid)) AS e FROM (SELECT * FROM pairs WHERE pair_index IS NOT NULL) GROUP BY 1),
+      b AS (SELECT pair_index, row_number() OVER (ORDER BY pair_index) - 1 AS ordinal, '{"messages":[{"content":"' || concat_ws(' / ', e[1], e[2]) || '","role":"user"}],"model":"m"}' AS body FROM p),
+      c AS (SELECT *, ',"method":"POST","url":"/v1/chat/completions"}' AS tail FROM b), i AS (SELECT *, 'citation-' || lpad(CAST(ordinal AS VARCHAR), 8, '0') || '-' || substr(sha256('{"body":' || body || tail), 1, 16) AS custom_id FROM c),
+      l AS (SELECT ordinal, pair_index, custom_id, CAST(strlen('{"body":' || body || ',"custom_id":"' || custom_id || '"' || tail) + 1 AS BIGINT) AS line_bytes FROM i),
+      s AS (SELECT *, sum(line_bytes) OVER (ORDER BY ordinal) AS upto, sum(line_bytes) OVER (ORDER BY ordinal) - line_bytes + 200000 AS most FROM l),
+      n AS (SELECT a.ordinal, least(coalesce(z.ordinal, (SELECT count(*) FROM l)), a.ordinal + 500) AS next FROM s a ASOF LEFT JOIN s z ON a.most < z.upto),
+      f(shard, start, next) AS (SELECT 0, ordinal, next FROM n WHERE ordinal = 0 UNION ALL SELECT f.shard + 1, n.ordinal, n.next FROM f JOIN n ON n.ordinal = f.next)
+    SELECT l.ordinal, pair_index, custom_id, line_bytes, CAST(shard AS INT) AS shard, CAST(l.ordinal - start + 1 AS INT) AS line_number FROM l JOIN f ON l.ordinal >= f.start AND l.ordinal < f.next""")
 def q_request_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests for all live pairs in shards of bounded bytes; tested against a sequential fill."""
+    """Requests for all live pairs in shards of bounded bytes."""
     pairs = table(spark, sf_dir, "pairs").where("pair_index IS NOT NULL").groupBy("pair_index").agg(F.min(F.struct("case_a_uid", "case_b_uid")).alias("p"))
     body = F.to_json(F.struct(F.array(F.struct(F.concat_ws(" / ", "p.case_a_uid", "p.case_b_uid").alias("content"), F.lit("user").alias("role"))).alias("messages"), F.lit("m").alias("model")))
     lines = batches.request_lines(pairs.select("pair_index", body.alias("body")), "citation", ["pair_index"])
