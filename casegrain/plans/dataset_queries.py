@@ -204,22 +204,31 @@ def q_author_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.where((F.col("n") == 1) & (F.col("surname") != "") & F.col("year").rlike(r"^(?:18|19|20|21)\d{2}$")).drop("n")
 
 
-CONTEXT_SQL = ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 'title:{n}' END" for n, p in species.CONTEXT.items())
-SPECIES_SQL = ", ".join(f"CASE WHEN regexp_matches(t, '\\b(?:{p})\\b') THEN 'title:species:{n}' END" for n, p in species.SPECIES.items())
+def species_sql(source: str) -> str:
+    """CTEs that end in hits (t, rule): every rule that hits the lower-case texts ``source`` (t), rules without their field.
 
+    Whether a species word names the subject depends on positions: they are summed from the pieces between the matches.
+    """
+    rules = [*((f"species:{n}", rf"\b(?:{p})\b") for n, p in species.SPECIES.items()), *species.CONTEXT.items(), *((f"ambiguous:{n}", p) for n, p in species.AMBIGUOUS.items())]
+    plain = ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{n}' END" for n, p in rules)
+    phrases = "|".join(f"(?:{p})" for n, p in species.AMBIGUOUS.items() if n != "animal_adjective")
+    found = " UNION ALL ".join(f"SELECT t, regexp_extract_all(t, '\\b(?:{p})\\b') AS m, string_split_regex(t, '\\b(?:{p})\\b') AS q FROM holding" for p in species.SPECIES.values())
+    lens = "coalesce(list_sum(list_transform({}, lambda z: length(z))), 0)"
+    covered = f"len(list_filter(range(0, CAST(least(pos, 60) AS BIGINT) + 1), lambda j: length(regexp_extract(substr(' ' || t, CAST(pos - j + 1 AS BIGINT), 160), '^(?s:.)({phrases})', 1)) > j)) > 0"
+    left, right = f"substr(t, CAST(greatest(0, pos - {species.BEFORE}) + 1 AS BIGINT), CAST(least(pos, {species.BEFORE}) AS BIGINT))", f"substr(t, CAST(pos + n + 1 AS BIGINT), {species.AFTER})"
+    return f"""x AS ({source}), holding AS (SELECT t FROM x WHERE regexp_matches(t, '{species.ANY_SPECIES}')), w AS ({found}), i AS (SELECT t, m, q, unnest(generate_series(1, len(m))) AS i FROM w),
+      placed AS (SELECT t, {lens.format('q[1:i]')} + {lens.format('m[1:i-1]')} AS pos, length(m[i]) AS n FROM i),
+      named AS (SELECT DISTINCT t FROM placed WHERE (regexp_matches({left}, '{species.SUBJECT}') OR regexp_matches({left}, '{species.IN_SPECIES}') OR regexp_matches({right}, '{species.SUBJECT}')) AND NOT ({covered})),
+      hits AS (SELECT t, unnest(list_filter([{plain}], lambda r: r IS NOT NULL)) AS rule FROM x UNION ALL SELECT t, 'explicit_nonhuman_subject' FROM named)"""
 
-@R.query("q_species_rules", f"""WITH x AS (SELECT DISTINCT lower(coalesce(title, '')) AS t FROM cases), h AS (SELECT unnest([{SPECIES_SQL}, {CONTEXT_SQL}]) AS rule FROM x)
-    SELECT rule, count(*) AS titles FROM h WHERE rule IS NOT NULL GROUP BY rule""")
-def q_species_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many distinct titles each species and context rule hits."""
-    t = table(spark, sf_dir, "cases").select(F.lower(F.coalesce("title", F.lit(""))).alias("t")).distinct()
-    hits = t.select(F.explode(species.field_rules(F.col("t"), "title")).alias("rule")).where(~F.col("rule").rlike(":ambiguous:(?!breed)|:explicit_"))
-    return hits.groupBy("rule").agg(F.count(F.lit(1)).alias("titles"))
 
+TEXTS_SQL = "SELECT DISTINCT lower(coalesce(title, '')) AS t FROM cases UNION SELECT DISTINCT lower(coalesce(case_description, '')) FROM cases"
 
-@R.query("q_species_all_rules")
+
+@R.query("q_species_all_rules", f"""WITH {species_sql(TEXTS_SQL)}, f AS (SELECT DISTINCT 'title' AS field, lower(coalesce(title, '')) AS t FROM cases UNION SELECT DISTINCT 'case_description', lower(coalesce(case_description, '')) FROM cases)
+    SELECT field || ':' || rule AS rule, count(*) AS texts FROM f JOIN hits USING (t) GROUP BY 1""")
 def q_species_all_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many distinct titles and descriptions each rule of the whole rule set hits; tested against brute force."""
+    """How many distinct titles and descriptions each rule of the whole rule set hits."""
     cases = table(spark, sf_dir, "cases")
     hits = []
     for c in ("title", "case_description"):
@@ -228,13 +237,36 @@ def q_species_all_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits[0].unionByName(hits[1]).groupBy("rule").agg(F.count(F.lit(1)).alias("texts"))
 
 
-@R.query("q_species")
+def _has(pattern: str) -> str:
+    return f"len(list_filter(r, lambda z: regexp_matches(z, '{pattern}'))) > 0"
+
+
+@R.query("q_species", f"""WITH live AS {latest_sql('cases', 'patient_uid', 'patient_uid, title, case_description')}, {species_sql(TEXTS_SQL)}, f AS (SELECT patient_uid, 'title' AS field, lower(coalesce(title, '')) AS t FROM live UNION ALL SELECT patient_uid, 'abstract', lower(coalesce(case_description, '')) FROM live),
+    g AS (SELECT patient_uid, list_sort(list(field || ':' || rule)) AS r FROM f JOIN hits USING (t) GROUP BY 1), a AS (SELECT patient_uid, coalesce(r, []) AS r FROM live LEFT JOIN g USING (patient_uid))
+    SELECT patient_uid, r AS matched_rules, CASE WHEN {_has('^title:model:')} THEN 'animal' WHEN {_has(':direct_nonhuman_subject$')} THEN 'animal' WHEN {_has(':exposure:|:zoonosis|:human_patient_context')} THEN 'human'
+      WHEN {_has(':model:')} OR {_has(':explicit_nonhuman_subject$')} OR ({_has(':veterinary_context$')} AND {_has(':species:')}) THEN 'animal' ELSE 'human' END AS automatic_label FROM a""")
 def q_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Human or animal, per live case, with the rules that decided; the rule that needs positions is tested on fixed phrases."""
+    """Human or animal, per live case, with the rules that decided."""
     cases = latest(spark, sf_dir, "cases", "patient_uid").select("patient_uid", "title", "case_description")
     return species.classify_species(cases, "title", "case_description").select("patient_uid", "automatic_label", "matched_rules")
 
 
+# Beginnings that make a title hit the rules the tables alone do not.
+BEGINNINGS = [
+    "A dog presented with", "Two cats were treated: ", "Impacted canine tooth and", "A mouse model of", "Exposure to dogs before", "Surgery in a horse with", "Cat scan of a woman with", "Veterinary patient, feline, ", "Dog bite, then",
+    "Fluorescence in situ hybridization with mouse serum in", "Zoonotic spread of", "Feline-associated", "Experimental rats and", "Rabbits were injected before", "Dog ears in", "Acquired from birds: ", "The patient, a parrot, had", "Fish-probe study of", "Labrador with", "Non-human primates and",
+]
+
+
+@R.query("q_species_titles", f"""WITH {species_sql(f"SELECT DISTINCT lower({BEGINNINGS!r}[length(title) % {len(BEGINNINGS)} + 1] || ' ' || title) AS t FROM cases WHERE title IS NOT NULL")}
+    SELECT t AS title, coalesce(list_sort(list('title:' || rule) FILTER (rule IS NOT NULL)), []) AS matched_rules FROM x LEFT JOIN hits USING (t) GROUP BY t""")
+def q_species_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules that hit each title behind a beginning that depends on its length: every rule but few hits many titles."""
+    begin = F.element_at(F.array(*[F.lit(b) for b in BEGINNINGS]), F.length("title") % len(BEGINNINGS) + 1)
+    t = table(spark, sf_dir, "cases").where("title IS NOT NULL").select(F.lower(F.concat(begin, F.lit(" "), "title")).alias("title")).distinct()
+    return t.select("title", species.field_rules(F.col("title"), "title").alias("matched_rules"))
+
+
 @R.query("q_pair_species", f"""WITH k AS {latest_sql('cases', 'patient_uid', 'patient_uid, population_scope.label AS l')}
     SELECT DISTINCT p.pair_index, CASE WHEN a.l = 'human' AND b.l = 'human' THEN 'human' ELSE 'animal' END AS label FROM pairs p JOIN k a ON a.patient_uid = case_a_uid JOIN k b ON b.patient_uid = case_b_uid""")
 def q_pair_species(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,12 +290,17 @@ def q_jats_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jats.read_articles(files, "patient_uid", "content").select("patient_uid", "status", "title", "case_text", "pmcid")
 
 
-@R.query("q_level_problems", r"""SELECT doc_id, CASE WHEN list_contains(['1,2,3'], array_to_string(regexp_extract_all(text, '(?im)^[ \t]*level[ \t]+([123])(?:\b[^\r\n]*)?$', 1), ',')) THEN
-    CASE WHEN trim(regexp_replace(split_part(regexp_replace(text, '(?im)^[ \t]*level[ \t]+[123](?:\b[^\r\n]*)?$', chr(1)), chr(1), 1), '\s', '', 'g')) <> '' THEN 'text_before' ELSE 'empty_level' END ELSE 'levels' END AS problem
-    FROM documents WHERE doc_kind IN ('question', 'answer') AND text IS NOT NULL""")
+LEVEL_SQL = r"(?im)^[ \t]*level[ \t]+([123])(?:\b[^\r\n]*)?$"
+
+
+@R.query("q_level_problems", rf"""WITH d AS (SELECT doc_id, doc_kind, array_to_string(regexp_extract_all(text, '{LEVEL_SQL}', 1), ',') AS levels, string_split_regex(text, '{LEVEL_SQL}') AS p, text FROM documents WHERE doc_kind IN ('question', 'answer') AND text IS NOT NULL),
+    x AS (SELECT doc_id, CASE WHEN levels <> '1,2,3' THEN 'levels' WHEN regexp_replace(p[1], '\s', '', 'g') <> '' THEN 'text_before' WHEN len(list_filter(p[2:], lambda z: regexp_replace(z, '\s', '', 'g') = '')) > 0 THEN 'empty_level'
+      WHEN doc_kind = 'question' AND len(list_filter(p[2:], lambda z: NOT contains(z, '?'))) > 0 THEN 'no_question' END AS problem FROM d) SELECT doc_id, problem FROM x WHERE problem IS NOT NULL""")
 def q_level_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers in levels that break their schema; questions must ask at each level."""
     d = table(spark, sf_dir, "documents").where("doc_kind IN ('question', 'answer') AND text IS NOT NULL")
-    return d.select("doc_id", batches.level_problem(F.col("text"), questions=False).alias("problem")).where("problem IS NOT NULL")
+    problem = F.when(F.col("doc_kind") == "question", batches.level_problem(F.col("text"), questions=True)).otherwise(batches.level_problem(F.col("text"), questions=False))
+    return d.select("doc_id", problem.alias("problem")).where("problem IS NOT NULL")
 
 
 @R.query("q_request_shards", r"""WITH RECURSIVE p AS (SELECT pair_index, min((case_a_uid, case_b_uid)) AS e FROM (SELECT * FROM pairs WHERE pair_index IS NOT NULL) GROUP BY 1),
