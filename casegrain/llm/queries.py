@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["lookalike_queries", "canonical_queries", "component_queries", "leak_queries", "pii_queries", "packing_queries"]
+MODULES = ["lookalike_queries", "canonical_queries", "component_queries", "leak_queries", "pii_queries", "packing_queries", "example_queries"]
 
 
 def registries() -> list:
