@@ -118,7 +118,7 @@ def request_problems(stored: DataFrame, index: DataFrame, stage: str) -> DataFra
     right = F.format_string("%s-%08d-%s", F.lit(stage), F.col("ordinal"), F.substring(F.sha2("core", 256), 1, 16))
     rules = {
         "missing_line": F.col("lines").isNull(), "unindexed_line": F.col("there").isNull(), "repeated_line": F.col("lines") > 1,
-        "changed_line": F.col("there") & (F.col("said") != F.col("line_sha256")), "wrong_id": F.col("there") & (F.col("custom_id") != right),
+        "changed_line": F.col("there") & (F.col("said") != F.col("line_sha256")), "wrong_id": F.col("there") & F.col("lines").isNotNull() & (F.col("custom_id") != right),
     }
     named = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
     return j.select("custom_id", F.explode(named).alias("problem"))
