@@ -18,6 +18,8 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,8 @@ PART = rf"(?:{WORD}(?:-{WORD})?|[{UPPER}]\.(?:-?[{UPPER}]\.)?)"
 PARTICLE = r"(?:(?:von|van|der|den|de|del|della|di|da|dos|du|la|le|el|al|bin|ibn|zu|zur|ter|ten)\s)"
 NAMES = re.compile(rf"(?<![^\W_]){PART}(?:(?:, | ){PARTICLE}{{0,2}}{PART})*(?![^\W_])")
 PIECE = re.compile(PART)
+PARTICLE_WORDS = frozenset(PARTICLE[6:-4].split("|"))
+EDGES = ".:,;([{\"'“«"
 LED_BY = re.compile(rf"(?<![^\W_]){PARTICLE}{{1,2}}\Z")
 PARTICLES = re.compile(rf"\b{PARTICLE}")
 # Family names that most Chinese names begin with.
@@ -193,19 +197,19 @@ def _names(text: str, found: set[tuple[int, int, str]]) -> None:
     for m in NAMES.finditer(text):
         run, base = m.group(), m.start()
         if " " not in run:
-            led = LED_BY.search(text, max(0, base - 12), base) if base else None
+            before = text[max(0, base - 24) : base].split()
+            led = LED_BY.search(text, max(0, base - 12), base) if before and before[-1] in PARTICLE_WORDS else None
             if run.casefold() not in GIVEN:
-                at = led.start() if led else base
-                before = TOKEN.findall(text[max(0, at - 24) : at])
-                cue = CUE.get(before[-2 if before[-1] in ".:," and len(before) > 1 else -1].casefold()) if before else None
-                if cue not in ("title", "person"):
+                if led:
+                    before = text[max(0, led.start() - 24) : led.start()].split()
+                if not before or CUE.get(before[-1].strip(EDGES).casefold()) not in ("title", "person"):
                     continue
             found.add((base, m.end(), "name"))
             if led:
                 found.add((led.start(), m.end(), "name"))
             continue
         parts = [(p.start(), p.end(), p.group()) for p in PIECE.finditer(run)]
-        if base and (p := LED_BY.search(text, max(0, base - 12), base)) and _titled(text, p.start()):
+        if base and (w := text[max(0, base - 8) : base].split()) and w[-1] in PARTICLE_WORDS and (p := LED_BY.search(text, max(0, base - 12), base)) and _titled(text, p.start()):
             found.update((p.start(), base + e, "name") for _, e, last in parts[:3] if not last.endswith("."))
         for i, (s, _, first) in enumerate(parts):
             alone = not i or CUE.get(parts[i - 1][2].casefold().rstrip(".")) in ("title", "person") or first.casefold() in GIVEN
@@ -223,57 +227,97 @@ def _names(text: str, found: set[tuple[int, int, str]]) -> None:
                     found.add((m.start(), m.start() + n, "name"))
 
 
-def candidates(text: str) -> list[tuple[int, int, str]]:
-    """Liberal proposals (start, end, kind), sorted; several boundaries for each place."""
+# What a text must hold for a proposal of each sort; expressions that the engine of Arrow can search in whole batches.
+_DOT = r"(?:\.|\s?[\[({]\s?(?:dot|punkt|punto|point|\.)\s?[\])}]\s?| (?:dot|punkt|punto|point) )"
+_HOUSE = r"\p{Nd}(?:[\s\p{Z}]?[A-Za-z])?(?:[-/]\p{Nd}+)?"
+_NAME = r"\p{Lu}[\pL\pN_'’-]+"
+_ROAD = r"(?i:rue|avenue|boulevard|place|quai|chemin|allée|impasse|calle|avenida|avda\.|plaza|paseo|camino|ronda|C/|via|viale|piazza|rua|travessa)"
+_ARTICLE = r"(?i:de|du|des|del|della|di|da|do|dos|das|la|las|les|los|el|le|l['’])"
+_ENDING = r"(?:(?i:stra(?:ß|ss)e|gasse|weg|platz|allee|ring|damm|ufer)|str\.)"
+SIGNS = {
+    "email": rf"(?i)(?:@|[\[({{<]\s?(?:at|a|arroba|arobase|@)\s?[\])}}>]| (?:at|arroba|arobase) )\s?(?:[\pL\pN_-]+{_DOT})*[\pL\pN_-]*\pL\pL",
+    "address": rf"{_HOUSE},? (?:{_NAME} ){{1,3}}(?:{'|'.join(w.title() for w in STREET_WORDS)}|{'|'.join(w.upper() for w in STREET_WORDS)})|{_ROAD} (?:{_ARTICLE} ?)*{_NAME}"
+    rf"|\p{{Lu}}\pL*{_ENDING} \p{{Nd}}|(?i:Am|An der|Im|Zum|Zur|Auf dem) \p{{Lu}}\pL+ \p{{Nd}}|\p{{Lu}}\pL+[ -](?i:Stra(?:ß|ss)e|Gasse|Weg|Platz|Allee|Ring) \p{{Nd}}",
+    "number": r"\p{Nd}(?:[A-Z ./()\-–]*\p{Nd}){4}",
+}
+
+
+def signs(texts: list[str]) -> list[tuple[bool, bool, bool]]:
+    """For each text, whether it can hold an e-mail address, a street address, a number of enough digits."""
+    a = pa.array(texts, pa.large_string())
+    return list(zip(*(pc.match_substring_regex(a, p).to_pylist() for p in SIGNS.values()), strict=True))
+
+
+def candidates(text: str, may: tuple[bool, bool, bool] = (True, True, True)) -> list[tuple[int, int, str]]:
+    """Liberal proposals (start, end, kind), sorted; several boundaries for each place. ``may``: what ``signs`` says of the text."""
     found: set[tuple[int, int, str]] = set()
-    _emails(text, found)
-    _addresses(text, found)
-    _numbers(text, found)
+    if may[0]:
+        _emails(text, found)
+    if may[1]:
+        _addresses(text, found)
+    if may[2]:
+        _numbers(text, found)
     _names(text, found)
     return sorted(found)
 
 
 class Around:
-    """Features of the places of one text, each place looked at once."""
+    """Features of the places of one text, each place looked at once; equal surroundings share theirs through ``memo``."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, memo: dict[tuple, tuple] | None = None):
         self.text = text
-        self.lefts: dict[int, tuple[list[str], str, str]] = {}
-        self.rights: dict[int, list[str]] = {}
+        self.memo = {} if memo is None else memo
+        self.lefts: dict[int, tuple[list[str], str, str, dict[str, float]]] = {}
+        self.rights: dict[int, tuple[list[str], dict[str, float]]] = {}
+        self.numbers: dict[tuple[int, int], tuple[str, str, str, str, bool]] = {}
 
-    def left(self, start: int) -> tuple[list[str], str, str]:
-        """Features of what stands before, the nearest cue, and whether a sentence begins."""
+    def left(self, start: int) -> tuple[list[str], str, str, dict[str, float]]:
+        """Features of what stands before, the nearest cue, whether a sentence begins, and room for scores per kind."""
         got = self.lefts.get(start)
+        if got is not None:
+            return got
+        text = self.text
+        before = text[max(0, start - 2) : start]
+        key = (*TOKEN.findall(text[max(0, start - 60) : start])[-4:], before, None)
+        got = self.memo.get(key)
         if got is None:
-            text = self.text
-            toks = [t.casefold() for t in TOKEN.findall(text[max(0, start - 60) : start])[-4:]]
+            toks = [t.casefold() for t in key[:-2]]
             toks = ["^"] * (4 - len(toks)) + toks
             cues = [CUE.get(w, "") for w in toks]
             near = next((c for c in reversed(cues) if c), "")
             w = [t.translate(DIGITS9)[:6] if t[:1].isdigit() else t for t in toks]
-            before = text[max(0, start - 2) : start]
             fs = [f"l1={w[3]}", f"l2={w[2]} {w[3]}", f"l0={w[2]}", f"near={near}", f"line={before[-1:] in ('', chr(10))}", *sorted({f"c={c}" for c in cues if c})]
-            got = self.lefts[start] = (fs, near, "sent" if before.strip() in ("", ".", "!", "?", ":") else "mid")
+            got = self.memo[key] = (fs, near, "sent" if before.strip() in ("", ".", "!", "?", ":") else "mid", {})
+        self.lefts[start] = got
         return got
 
-    def right(self, end: int) -> list[str]:
+    def right(self, end: int) -> tuple[list[str], dict[str, float]]:
+        """Features of what follows, and room for scores per kind."""
         got = self.rights.get(end)
+        if got is not None:
+            return got
+        key = tuple(TOKEN.findall(self.text[end : end + 40])[:2])
+        got = self.memo.get(key)
         if got is None:
-            toks = [t.casefold() for t in TOKEN.findall(self.text[end : end + 40])[:3]]
-            toks += ["$"] * (3 - len(toks))
+            toks = [t.casefold() for t in key] + ["$"] * (2 - len(key))
             w = [t.translate(DIGITS9)[:6] if t[:1].isdigit() else t for t in toks]
-            got = self.rights[end] = [f"r1={w[0]}", f"r2={w[0]} {w[1]}", f"ra={CUE.get(toks[0], '') or CUE.get(toks[1], '')}"]
+            got = self.memo[key] = ([f"r1={w[0]}", f"r2={w[0]} {w[1]}", f"ra={CUE.get(toks[0], '') or CUE.get(toks[1], '')}"], {})
+        self.rights[end] = got
         return got
 
     def number(self, start: int, end: int) -> tuple[str, str, str, str, bool]:
         """All that the features of a number depend on: its shape, how it begins, the nearest cue, what it continues and goes on with."""
+        got = self.numbers.get((start, end))
+        if got is not None:
+            return got
         text = self.text
         one, two = text[max(0, start - 1) : start], text[max(0, start - 2) : max(0, start - 1)]
         joined = "code" if one in ("-", "/", ".", "–") and two.isalnum() else "number" if (one if one.strip() else two).isdigit() else ""
         s = text[start:end]
         c = s[0]
         head = c if c in "+(" else "00" if s.startswith("00") else "0" if c == "0" else "1-" if s.startswith("1-") else "A" if c.isalpha() else "d"
-        return s.translate(SHAPES), head, self.left(start)[1], joined, NUMBER_AFTER.match(text, end, end + 4) is not None
+        got = self.numbers[(start, end)] = s.translate(SHAPES), head, self.left(start)[1], joined, NUMBER_AFTER.match(text, end, end + 4) is not None
+        return got
 
     def whole(self, start: int, end: int, kind: str) -> list[str]:
         """Features of the whole span with its surroundings."""
@@ -322,7 +366,7 @@ def _number_features(shape: str, head: str, near: str, joined: str, goes_on: boo
 def features(text: str, start: int, end: int, kind: str, around: Around | None = None) -> list[str]:
     """All features of one candidate, each for its kind."""
     a = around or Around(text)
-    return [f"{kind}|{f}" for f in (*a.left(start)[0], *a.right(end), *a.whole(start, end, kind))]
+    return [f"{kind}|{f}" for f in (*a.left(start)[0], *a.right(end)[0], *a.whole(start, end, kind))]
 
 
 def _gap(text: str, a: int, b: int) -> str:
@@ -336,6 +380,7 @@ class SegmentCRF:
         self.w = {} if weights is None else weights
         self.by_kind: dict[str, dict[str, float]] | None = None
         self.numbers: dict[tuple, float] = {}
+        self.memo: dict[tuple, tuple] = {}
 
     def _kinds(self) -> dict[str, dict[str, float]]:
         by: dict[str, dict[str, float]] = {k: {} for k in KINDS}
@@ -363,15 +408,19 @@ class SegmentCRF:
         """The score of each candidate."""
         if self.by_kind is None:
             self.by_kind = self._kinds()
-        around, sides, out, numbers = Around(text), {}, [], self.numbers
+        if len(self.memo) > 200_000:
+            self.memo.clear()
+        around, out, numbers = Around(text, self.memo), [], self.numbers
         for start, end, kind in cs:
             get = self.by_kind[kind].get
-            left = sides.get((start, kind, 0))
+            fs, _, _, known = around.left(start)
+            left = known.get(kind)
             if left is None:
-                left = sides[(start, kind, 0)] = sum([get(f, 0.0) for f in around.left(start)[0]])
-            right = sides.get((end, kind, 1))
+                left = known[kind] = sum([get(f, 0.0) for f in fs])
+            fs, known = around.right(end)
+            right = known.get(kind)
             if right is None:
-                right = sides[(end, kind, 1)] = sum([get(f, 0.0) for f in around.right(end)])
+                right = known[kind] = sum([get(f, 0.0) for f in fs])
             if kind in ("phone", "id_number"):
                 key = (kind, *around.number(start, end))
                 whole = numbers.get(key)
@@ -384,9 +433,13 @@ class SegmentCRF:
             out.append(left + right + whole)
         return out
 
-    def decode(self, text: str) -> list[tuple[int, int, str]]:
+    def decode_all(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
+        """``decode`` of many texts; null has no spots."""
+        return [self.decode(t, may) if t else [] for t, may in zip(texts, signs(texts), strict=True)]
+
+    def decode(self, text: str, may: tuple[bool, bool, bool] = (True, True, True)) -> list[tuple[int, int, str]]:
         """The best set of segments that do not overlap."""
-        cs = candidates(text)
+        cs = candidates(text, may)
         if not cs:
             return []
         owns = self.scores(text, cs)
@@ -447,7 +500,7 @@ def find_personal(documents: DataFrame, weights: dict[str, float] | None = None)
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         crf = SegmentCRF(weights) if weights else model()
         for b in batches:
-            out = [(d, *x) for d, t in zip(b["doc_id"], b["text"], strict=True) for x in crf.decode(t)]
+            out = [(d, *x) for d, found in zip(b["doc_id"], crf.decode_all(b["text"].tolist()), strict=True) for x in found]
             yield pd.DataFrame(out, columns=["doc_id", "start_pos", "end_pos", "kind"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") > 0)
@@ -460,8 +513,8 @@ def replace_personal(documents: DataFrame) -> DataFrame:
     @F.pandas_udf("struct<redacted: string, spots: int>")
     def replaced(texts: pd.Series) -> pd.DataFrame:
         rows = []
-        for t in texts:
-            spots = model().decode(t) if isinstance(t, str) else []
+        texts = [t if isinstance(t, str) else None for t in texts]
+        for t, spots in zip(texts, model().decode_all(texts), strict=True):
             rows.append((redact(t, spots) if isinstance(t, str) else None, len(spots)))
         return pd.DataFrame(rows, columns=["redacted", "spots"])
 
