@@ -54,7 +54,7 @@ def found_sql() -> str:
 @R.query("p1_found", found_sql())
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = visible_fields(spark, sf_dir)
-    reps = representatives(count_members(values))
+    reps = representatives(count_members(values, deciding=True))
     return changed_rows(values, "value", reps).select("source_table", "source_column", "source_key").distinct()
 
 
@@ -62,5 +62,5 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value in its consistent form, with the number of spellings that came together in it."""
     values = visible_fields(spark, sf_dir).groupBy("source_table", "source_column", "value").agg(F.count(F.lit(1)).alias("n"))
-    out = make_consistent(values, "value", "consistent", representatives(count_members(visible_fields(spark, sf_dir))))
+    out = make_consistent(values, "value", "consistent", representatives(count_members(visible_fields(spark, sf_dir), deciding=True)))
     return out.groupBy("source_table", "source_column", "consistent").agg(F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("rows"))

@@ -161,9 +161,12 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
     return out
 
 
-def count_members(values: DataFrame, column: str = "value") -> dict[str, int]:
-    """How often each member of a class occurs in all values; one row per member reaches the driver."""
-    members = {m for c in classes() for m in c if m}
+def count_members(values: DataFrame, column: str = "value", deciding: bool = False) -> dict[str, int]:
+    """How often each member of a class occurs in all values; one row per member reaches the driver.
+
+    With ``deciding``, only in the classes where the frequency decides: not in those with one plain member or an invisible one.
+    """
+    members = {m for c in classes() if not deciding or ("" not in c and sum(map(is_plain, c)) != 1) for m in c if m}
     single = np.array(sorted(ord(m) for m in members if len(m) == 1))
     several = sorted(m for m in members if len(m) > 1)
     marks = sorted({m[-1] for m in several})
@@ -307,7 +310,7 @@ def make_consistent(df: DataFrame, column: str, out: str, table: dict[str, str]
     neither dropped nor merged; a clash of ``out`` with a column of ``df`` replaces that column.
     """
     if table is None:
-        table = representatives(count_members(df.select(F.col(column).alias("value"))))
+        table = representatives(count_members(df.select(F.col(column).alias("value")), deciding=True))
     odd = F.col(column).rlike(r"[^\x00-\x7F]")
     return df.withColumn(out, F.when(odd, consistent_udf(table)(F.when(odd, F.col(column)))).otherwise(F.col(column)))
 

@@ -93,3 +93,9 @@ def test_in_spark(spark):
 )
 def test_letters_marks_and_ideographs(text, want):
     assert L.consistent_values([text]) == [want]
+
+
+def test_counts_of_deciding_classes_choose_the_same(spark):
+    df = spark.createDataFrame([("Ｃase оf ﬁbrosis",), ("ооо",), ("e\u0308 o Α",), (None,)], "value string")
+    every, few = L.count_members(df), L.count_members(df, deciding=True)
+    assert L.representatives(every) == L.representatives(few) and few.items() <= every.items() and len(few) < len(every)
