@@ -10,7 +10,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def get_session(app: str = "casegrain", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -68,6 +68,12 @@ class Tables:
         out.casegrain_path = path
         return out
 
+    def keep_with(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """``keep``, with aggregates of the rows taken while they are written; the writing tasks report them once each."""
+        seen = Observation()
+        out = self.keep(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), name)
+        return out, seen.get
+
     def drop(self, *dfs: DataFrame | None) -> None:
         for df in dfs:
             path = getattr(df, "casegrain_path", None)

@@ -36,3 +36,16 @@ def test_hot_keys_by_broadcast(spark, how):
     assert sorted(map(repr, out.select("id", "k", "v", "w").collect())) == plain
     assert sorted(map(repr, heavy_join(left, right, ["k"], how).select("id", "k", "v", "w").collect())) == plain
     assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()
+
+
+def test_a_kept_table_reports_its_rows(spark):
+    from pyspark.sql import functions as F
+
+    from casegrain.session import Tables
+
+    store = Tables(spark, "test")
+    df, seen = store.keep_with(spark.range(1000).repartition(7), "t", n=F.count(F.lit(1)), odd=F.sum(F.col("id") % 2))
+    assert (seen["n"], seen["odd"]) == (1000, 500) and df.count() == 1000
+    empty, seen = store.keep_with(spark.range(0), "e", n=F.count(F.lit(1)), odd=F.sum(F.col("id")))
+    assert (seen["n"], seen["odd"], empty.count()) == (0, None, 0)
+    store.drop(df, empty)
