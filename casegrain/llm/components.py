@@ -62,27 +62,28 @@ def connected_components(links: DataFrame, heavy_share: float = HEAVY_SHARE) ->
     spark = links.sparkSession
     store = Tables(spark, "components")
     links = links.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
-    edges = store.keep(_edges(links), "edges")
-    left = edges.count()
+    rows = {"n": F.count(F.lit(1))}
+    edges, seen = store.keep_with(_edges(links), "edges", **rows)
+    left = seen["n"]
     forests: list[tuple[DataFrame, int]] = []
     while left:
         both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("e"))
         least = both.select("e.x", "e.y").groupBy("x").agg(F.min("y").alias("p"))
-        points = store.keep(least.where(F.col("p") < F.col("x")), "points")
-        n = points.count()
+        points, seen = store.keep_with(least.where(F.col("p") < F.col("x")), "points", **rows)
+        n = seen["n"]
         while True:
             jumped = follow(points.withColumn("was", F.col("p")), n, "p", "x", points, heavy_share)
-            jumped = store.keep(jumped, "jumped")
+            jumped, seen = store.keep_with(jumped, "jumped", changed=F.sum((F.col("p") != F.col("was")).cast("int")))
             store.drop(points)
             points = jumped.select("x", "p")
             points.casegrain_path = jumped.casegrain_path
-            if not jumped.where(F.col("p") != F.col("was")).take(1):
+            if not seen["changed"]:
                 break
         forests.append((points, n))
         half = follow(edges, left, "a", "b", points, heavy_share)
-        moved = store.keep(_edges(follow(half, left, "b", "a", points, heavy_share)), "edges")
+        moved, seen = store.keep_with(_edges(follow(half, left, "b", "a", points, heavy_share)), "edges", **rows)
         store.drop(edges)
-        edges, left = moved, moved.count()
+        edges, left = moved, seen["n"]
     store.drop(edges)
     roots = None
     for points, n in reversed(forests):
@@ -90,7 +91,9 @@ def connected_components(links: DataFrame, heavy_share: float = HEAVY_SHARE) ->
             roots = points
         else:
             lifted = follow(points, n, "p", "x", roots, heavy_share)
-            roots = store.keep(lifted.unionByName(roots), "roots")
+            lower = roots
+            roots = store.keep(lifted.unionByName(lower), "roots")
+            store.drop(lower, points)
     members = links.select(F.explode(F.array("a", "b")).alias("member")).where(F.col("member").isNotNull()).distinct()
     if roots is None:
         return members.withColumn("group_id", F.col("member"))
