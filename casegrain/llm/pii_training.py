@@ -43,7 +43,7 @@ NOUNS = "fever cough headache rash weakness swelling pain vertigo nausea fatigue
 ADJECTIVES = "acute chronic mild severe bilateral diffuse focal painless recurrent progressive intermittent large small irregular calcified cystic solid benign malignant transient persistent left right upper lower distal proximal lateral medial".split()
 ORGANS = "lung heart brain liver kidney spleen stomach pancreas bladder thyroid breast ovary uterus prostate femur tibia humerus spine skull retina cornea cochlea tongue larynx trachea oesophagus colon rectum".split()
 EXAMS = "Chest radiograph,Head scan,Abdominal ultrasound,Cardiac catheterisation,Bone marrow aspirate,Lumbar puncture,Spinal MRI,Liver biopsy,Blood film,Colonoscopy,Echocardiography,Angiography,Urinalysis,Spirometry,Electroencephalography,Doppler Ultrasound,Nerve Conduction Study".split(",")
-ILLNESSES = "pneumonia,tuberculosis,multiple myeloma,ulcerative colitis,rheumatoid arthritis,aortic dissection,acute leukaemia,renal cell carcinoma,myasthenia gravis,cardiac tamponade,Kawasaki disease,Crohn disease,Takayasu arteritis,Hodgkin lymphoma".split(",")
+ILLNESSES = "pneumonia,tuberculosis,multiple myeloma,colitis of the left side,arthritis of many joints,aortic dissection,acute leukaemia,cancer of the kidney,myasthenia gravis,cardiac tamponade,Kawasaki disease,Crohn disease,Takayasu arteritis,Hodgkin lymphoma".split(",")
 MEDICINES = "aspirin,prednisolone,methotrexate,heparin,amoxicillin,furosemide,metformin,insulin,rituximab,levetiracetam".split(",")
 FIRMS = "Siemens Healthineers,Philips Medical,General Electric,Roche Diagnostics,Olympus Europe,Carl Zeiss Meditec,Thermo Fisher,Becton Dickinson,Beckman Coulter,Abbott Laboratories".split(",")
 BODIES = "Department of Internal Medicine,Royal County Infirmary,General Hospital,University Clinic,Institute of Pathology,Faculty of Medicine,World Health Organization,Ethics Committee,National Cancer Registry,Medical Research Council,Children's Hospital,Intensive Care Unit".split(",")
@@ -230,7 +230,7 @@ class Maker:
             ])
         title = lambda: r.choice(["Mr ", "Mrs ", "Ms ", "Miss ", "Dr ", "Dr. ", "Prof. ", "Professor ", "Mr. ", "Mrs. ", "Nurse ", "Sister "])
         kin = lambda: r.choice(["husband", "wife", "mother", "father", "son", "daughter", "sister", "brother", "aunt", "neighbour", "guardian", "partner", "carer"])
-        said = r.choice(["agreed to publication", "was discharged home", "reported less pain", "remembered a fall", "had worked in a bakery", "attended each visit", "moved abroad", "asked for a second opinion", "noticed the lump first", "has since recovered", "refused the operation", "walked without help"])
+        said = r.choice(["agreed to publication", "went home the same week", "reported less pain", "remembered a fall", "had worked in a bakery", "attended each visit", "moved abroad", "asked for a second opinion", "noticed the lump first", "has since recovered", "refused the operation", "walked without help"])
         single = (r.choice(GIVEN_LIST).title(), "name") if r.random() < 0.8 else (self.given(), "name")
         if single[0].casefold() not in GIVEN:
             single = ("Maria", "name")
@@ -319,11 +319,11 @@ class Maker:
             ])]
         return [r.choice([
             f"The {a} {b} of the {o} measured {n()} x {n()} mm.", f"{e} revealed a {a} {b}.", f"{e} of the {o} on {n(1, 28)}.{n(1, 12)}.{year} was normal.", f"On {n(1, 28)} {month} {year} the {b} returned.", f"A {n()}-year-old {r.choice(['woman', 'man', 'girl', 'boy', 'farmer', 'teacher'])} had {a} {b} for {n()} weeks.",
-            f"He had no history of {i}.", f"{m.title()} {n()} mg was given every {n(2, 12)} hours.", f"Follow-up at {n()} months showed no {b}.", f"Fig. {n(1, 9)}{c('ABC')}: {a} {b} in the {o}, arrow.", f"Figure {n(1, 9)}. {e} before and after {m}.", f"Haemoglobin {n()}.{d(1)} g/dL, platelets {d(6)}, CRP {n()} mg/L.",
+            f"He had no history of {i}.", f"{m.title()} {n()} mg was given every {n(2, 12)} hours.", f"Follow-up at {n()} months showed no {b}.", f"Fig. {n(1, 9)}{c('ABC')}: {a} {b} in the {o}, arrow.", f"Figure {n(1, 9)}. {e} prior to and following {m}.", f"Haemoglobin {n()}.{d(1)} g/dL, platelets {d(6)}, CRP {n()} mg/L.",
             f"The study took place in {t} and {self.town()} between {year} and {n(1990, 2025)}.", f"She grew up near {t}.", f"The hospital of {t} has {n(100, 900)} beds.", f"{r.choice(BODIES)}, {t}, approved the work.", f"We thank the {r.choice(BODIES)} for support.", f"From the {r.choice(BODIES)}, {t}.", f"The scanner ({r.choice(FIRMS)}, {t}) ran at {n(1, 3)}.{d(1)} T.",
             f"Written consent was obtained from the {r.choice(['patient', 'parents', 'family'])}.", f"{i.title()} may mimic {r.choice(ILLNESSES)}.", f"Differential diagnosis included {i} and {r.choice(ILLNESSES)}.", f"Blood pressure was {n(90, 180)}/{n(50, 99)} mmHg and pulse {n(50, 130)}.", f"Table {n(1, 9)} lists all values.", f"At {n(1, 23)}:{d(2)} the {b} began.",
             f"Nach {n()} Tagen war das {r.choice(['Fieber', 'Exanthem', 'Ödem'])} verschwunden.", f"Der Patient klagte seit {n()} Wochen über Schmerzen im Bereich von {r.choice(['Leber', 'Niere', 'Lunge', 'Herz'])} und Magen.", f"Die Untersuchung der {r.choice(['Niere', 'Lunge', 'Milz'])} war {r.choice(['unauffällig', 'auffällig'])}; Größe {n()} mm.", f"In {t} wurden {n()} Fälle erfasst.",
-            f"Le malade se plaignait de douleurs depuis {n()} mois.", f"Le scanner de {t} montrait une lésion de {n()} mm.", f"Un traitement par {m} a été débuté le {n(1, 28)}/{n(1, 12)}/{year}.", f"El enfermo refería dolor desde hacía {n()} semanas.", f"La ecografía mostró una lesión de {n()} mm en el riñón.", f"En {t} se registraron {n()} casos.",
+            f"Le malade se plaignait de douleurs depuis {n()} mois.", f"Le scanner de {t} montrait une lésion de {n()} mm.", f"Une cure de {m} a été commencée le {n(1, 28)}/{n(1, 12)}/{year}.", f"El enfermo refería dolor desde hacía {n()} semanas.", f"La ecografía mostró una lesión de {n()} mm en el riñón.", f"En {t} se registraron {n()} casos.",
             f"Q: What explains the {a} {b}?\nA: {i.title()}.", f"Distributed under the Creative Commons licence, version {n(1, 4)}.0.", f"Gene {c(n=3)}{n(1, 9)} variant c.{d(4)}{c('ACGT')}>{c('ACGT')} was found.", f"TNF-α and IL-{n(1, 20)} were raised.", f"Meet at {n(1, 12)} at the dot of noon.", f"{n()} @ {n()} Hz was recorded.",
             f"{t} Road and {self.town()} Street flood each year.", f"The village of {t} lies by the {last()} River.", f"St {r.choice(['Mary', 'George', 'Anna', 'Michael'])} Hospital, {t}.", f"{r.choice(['Peter', 'Maria', 'Anna', 'Henry'])} {r.choice(['Street', 'Hospital', 'Ward', 'Church', 'School'])} was closed.", f"Mean age was {n()} (SD {n(1, 20)}.{d(1)}), range {n(1, 20)}–{n(60, 99)}.",
         ])]
