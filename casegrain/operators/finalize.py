@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casegrain.functions.text import modality_bucket, short_caption
 from casegrain.operators.batches import total_index
+from casegrain.operators.constraints import union_all
 
 FIELDS = ["modality", "anatomy", "diagnosis"]
 
@@ -124,3 +125,21 @@ def phrase_coverage(counts: DataFrame, unmatched: DataFrame, most_percent: float
     )
     g = g.withColumn("other_percent", F.round(100 * F.col("unmatched_descriptions") / F.col("descriptions"), 6))
     return g.withColumn("within_limit", F.col("other_percent") < most_percent)
+
+
+def labelling_stats(records: DataFrame) -> DataFrame:
+    """(stat, n): records, those of two different images, with all labels, distinct valid ones, final pairs, removed repeats."""
+    a, b = F.get("pair_id", F.lit(0)), F.get("pair_id", F.lit(1))
+    two = F.coalesce((F.size("pair_id") == 2) & (a != b), F.lit(False))
+    named = F.coalesce((F.trim("modality") != "") & (F.trim("anatomy") != "") & (F.trim("diagnosis") != ""), F.lit(False))
+    count = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0).cast("bigint"))
+    first = records.agg(F.count(F.lit(1)).alias("records"), count(two).alias("two_images"), count(named).alias("all_labels"))
+    then = valid_pairs(records).agg(F.count(F.lit(1)).alias("valid"), F.countDistinct("pair_id").alias("final"), (F.count(F.lit(1)) - F.countDistinct("pair_id")).alias("repeats_removed"))
+    return union_all([d.unpivot([], d.columns, "stat", "n") for d in (first, then)])
+
+
+def partition_stats(df: DataFrame, column: str, parts: list[str]) -> DataFrame:
+    """One row: all rows, the rows of each part, and whether the parts make up the whole."""
+    per = [F.count(F.when(F.col(column) == p, F.lit(1))).alias(p) for p in parts]
+    total = sum((F.col(p) for p in parts), F.lit(0))
+    return df.agg(F.count(F.lit(1)).alias("all_rows"), *per).withColumn("whole", total == F.col("all_rows"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casegrain.functions.keys import article_id, case_uid, figure_number, safe_path_problem
+from casegrain.operators.batches import total_index
 
 
 def latest_versions(df: DataFrame, keys: list[str], recorded: str = "recorded_at", withdrawn: str | None = "withdrawn_at") -> DataFrame:
@@ -101,3 +102,14 @@ def case_records(cases: DataFrame, captions: DataFrame) -> DataFrame:
     c = captions.select("patient_uid", F.struct("caption_id", "image_path", "caption").alias("c")).distinct()
     c = c.groupBy("patient_uid").agg(F.array_sort(F.collect_list("c")).alias("captions"))
     return cases.join(c, "patient_uid", "left").withColumn("captions", F.coalesce("captions", F.array().cast("array<struct<caption_id: string, image_path: string, caption: string>>")))
+
+
+def manifest_images(figures: DataFrame) -> DataFrame:
+    """(image_path, ordinal, rows): the distinct image paths of a manifest in their order, from 0, and how often each is listed."""
+    g = figures.where(F.col("image_path").isNotNull()).groupBy("image_path").agg(F.count(F.lit(1)).alias("rows"))
+    return total_index(g, ["image_path"], "ordinal").select("image_path", "ordinal", "rows")
+
+
+def drop_diagrams(figures: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The figures that no decision (image_path, is_diagram) calls a diagram; a figure without a decision stays."""
+    return figures.join(decisions.where(F.col("is_diagram")).select("image_path"), "image_path", "left_anti")

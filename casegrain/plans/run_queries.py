@@ -12,6 +12,7 @@ from casegrain.operators.joins import heavy_join
 from casegrain.plans.dataset_queries import BUCKET_SQL, DIAGRAM_SQL, FIELDS, VALID_SQL, descriptions, latest, latest_sql
 from casegrain.plans.registry import Registry
 from casegrain.session import table
+from casegrain.sources import files
 
 R = Registry()
 
@@ -277,3 +278,40 @@ def q_live_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = latest(spark, sf_dir, "cases", "patient_uid").select(F.col("patient_uid").alias("uid"))
     b = table(spark, sf_dir, "captions").where("trim(caption) <> ''").select(case_uid(F.col("patient_uid")).alias("uid"))
     return constraints.difference(a, b, "uid")
+
+
+@R.query("q_manifest_images", "SELECT image_path, row_number() OVER (ORDER BY image_path) - 1 AS ordinal, n AS rows FROM (SELECT image_path, count(*) AS n FROM images WHERE image_path IS NOT NULL GROUP BY 1)")
+def q_manifest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images of the manifest in order, with their position and how many rows list them."""
+    return merge.manifest_images(table(spark, sf_dir, "images"))
+
+
+@R.query("q_kept_figures", f"SELECT DISTINCT caption_id, image_path FROM captions WHERE image_path IS NOT NULL AND image_path NOT IN (SELECT image_path FROM {latest_sql('images', 'image_path')} WHERE {DIAGRAM_SQL} <> 'retained')")
+def q_kept_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captioned figures that are no diagrams by the live image's measures."""
+    decisions = merge.diagram_decision(latest(spark, sf_dir, "images", "image_path"))
+    return merge.drop_diagrams(table(spark, sf_dir, "captions").where("image_path IS NOT NULL").select("caption_id", "image_path").distinct(), decisions).select("caption_id", "image_path")
+
+
+@R.query("q_labelling_stats", f"""WITH {VALID_SQL} SELECT 'records' AS stat, count(*) AS n FROM pair_descriptions UNION ALL SELECT 'two_images', count(*) FILTER (len(pair_id) = 2 AND pair_id[1] <> pair_id[2]) FROM pair_descriptions
+    UNION ALL SELECT 'all_labels', count(*) FILTER (trim(modality) <> '' AND trim(anatomy) <> '' AND trim(diagnosis) <> '') FROM pair_descriptions
+    UNION ALL SELECT 'valid', count(*) FROM v UNION ALL SELECT 'final', count(*) FROM pp UNION ALL SELECT 'repeats_removed', (SELECT count(*) FROM v) - (SELECT count(*) FROM pp)""")
+def q_labelling_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize.labelling_stats(descriptions(spark, sf_dir))
+
+
+@R.query("q_screen_stats", f"SELECT count(*) AS all_rows, count(*) FILTER (population_scope.label = 'human') AS human, count(*) FILTER (population_scope.label = 'animal') AS animal, count(*) = count(*) FILTER (population_scope.label IN ('human', 'animal')) AS whole FROM {LIVE_CASES}")
+def q_screen_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live cases by population, and whether human and animal ones are all of them."""
+    return finalize.partition_stats(latest(spark, sf_dir, "cases", "patient_uid").select(F.col("population_scope.label").alias("label")), "label", ["human", "animal"])
+
+
+@R.query("q_article_files", f"SELECT patient_uid, CASE WHEN title IS NULL THEN 'missing' WHEN case_description IS NULL THEN 'changed' END AS problem FROM {LIVE_CASES}")
+def q_article_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded article files against files made here: none where the title is null, another text where the description is."""
+    live = latest(spark, sf_dir, "cases", "patient_uid")
+    path = F.concat(F.lit("new_data/PMC"), "pmc_id", F.lit("/"), "patient_uid", F.lit(".nxml"))
+    text = F.concat(F.coalesce("title", F.lit("?")), F.lit("|"), F.coalesce("case_description", F.lit("?")))
+    records = live.select("patient_uid", path.alias("nxml_path"), F.sha2(text, 256).alias("nxml_sha256"))
+    made = live.where("title IS NOT NULL").select(path.alias("path"), F.when(F.col("case_description").isNull(), F.concat(text, F.lit("!"))).otherwise(text).cast("binary").alias("content"))
+    return files.checked_articles(records, made).select("patient_uid", "problem")

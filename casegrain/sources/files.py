@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ftplib
 import io
 import json
 import tarfile
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casegrain.functions.keys import safe_path_problem
 from casegrain.operators.constraints import ConfigurationError, IntegrityError, require_columns
 
 
@@ -131,8 +133,17 @@ def cached_responses(spark: SparkSession, folder: str) -> DataFrame:
     return f.groupBy("n").agg(F.max_by("content", "bare").alias("content")).select(F.concat(F.lit("PMC"), "n").alias("pmc_id"), "content")
 
 
-def fetched(ids: DataFrame, fetch, column: str = "pmc_id", tries: int = 3) -> DataFrame:
-    """(column, content, problem) through an injected ``fetch(id) -> bytes | None``; a failing id never fails the job."""
+def final_error(e: Exception) -> bool:
+    """Errors that another try cannot mend: refusals by HTTP (all of 4xx but 429) and permanent ones by FTP."""
+    code = getattr(e, "code", None)
+    return isinstance(e, ftplib.error_perm) or (isinstance(code, int) and 400 <= code < 500 and code != 429)
+
+
+def fetched(ids: DataFrame, fetch, column: str = "pmc_id", tries: int = 3, most_bytes: int = 1 << 30) -> DataFrame:
+    """(column, content, problem) through an injected ``fetch(id) -> bytes | None``; a failing id never fails the job.
+
+    Network errors are tried again unless they are final; content beyond ``most_bytes`` is refused.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -143,9 +154,13 @@ def fetched(ids: DataFrame, fetch, column: str = "pmc_id", tries: int = 3) -> Da
                     try:
                         content = fetch(i)
                         problem = None if content else "missing"
+                        if content and len(content) > most_bytes:
+                            content, problem = None, "too_large"
                         break
-                    except OSError as e:  # network errors are OSErrors; anything else is a bug and fails the task
+                    except (OSError, ftplib.Error) as e:  # network errors; anything else is a bug and fails the task
                         problem = f"{type(e).__name__}: {e}"[:200]
+                        if final_error(e):
+                            break
                 rows.append((i, content, problem))
             yield pd.DataFrame(rows, columns=[column, "content", "problem"])
 
@@ -207,3 +222,16 @@ def chosen_nxml(members: DataFrame, articles: DataFrame) -> DataFrame:
     problem = F.when(F.col("own") > 1, "several").when((F.col("own") == 0) & (F.col("declared") > 0), "mismatch").when((F.col("own") == 0) & (F.col("n") > 1), "undeclared")
     none = members.select("archive").distinct().join(g.select("archive"), "archive", "left_anti").select("archive", F.lit(None).cast("string").alias("member"), F.lit("missing").alias("problem"))
     return g.select("archive", F.when(problem.isNull(), F.col("member")).alias("member"), problem.alias("problem")).unionByName(none)
+
+
+def checked_articles(records: DataFrame, files: DataFrame, tree: str = "new_data") -> DataFrame:
+    """(patient_uid, content, problem): each record's article file if it is the one recorded.
+
+    ``records``: patient_uid, nxml_path, nxml_sha256; ``files``: path, content. bad_path: absolute, climbing out, outside
+    ``tree`` or no .nxml; missing: no such file; changed: another hash than recorded. Content is null where there is a problem.
+    """
+    bad = F.coalesce(safe_path_problem(F.col("nxml_path")), F.lit(True)) | ~F.col("nxml_path").startswith(f"{tree}/") | ~F.lower("nxml_path").endswith(".nxml")
+    j = records.select("patient_uid", "nxml_path", "nxml_sha256").join(files.select(F.col("path").alias("nxml_path"), "content"), "nxml_path", "left")
+    same = F.coalesce(F.sha2("content", 256) == F.lower("nxml_sha256"), F.lit(False))
+    problem = F.when(bad, "bad_path").when(F.col("content").isNull(), "missing").when(~same, "changed")
+    return j.select("patient_uid", F.when(problem.isNull(), F.col("content")).alias("content"), problem.alias("problem"))
