@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrain.llm.canonical import map_values
+from casegrain.llm.canonical_sql import FOUND_SQL, UNMATCHED_SQL
 from casegrain.operators.joins import small_join
 from casegrain.plans.registry import Registry
 from casegrain.session import Tables, table
@@ -34,13 +35,13 @@ def mapped_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, "mapped").keep(map_values(distinct.join(terms, ["field", "value"], "left_anti"), reference_names(spark, sf_dir)), "values")
 
 
-@R.query("p2_found")
+@R.query("p2_found", FOUND_SQL)
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = small_join(entered_values(spark, sf_dir), mapped_values(spark, sf_dir), ["field", "value"], ["record_index"])
     return found.select("record_index", "field", F.col("entry").alias("term_id")).distinct()
 
 
-@R.query("p2_unmatched")
+@R.query("p2_unmatched", UNMATCHED_SQL)
 def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that name nothing on the list, with the number of records that hold them."""
     none = mapped_values(spark, sf_dir).where(F.col("entry") == -1)
