@@ -165,7 +165,7 @@ def _numbers(text: str, found: set[tuple[int, int, str]]) -> None:
         run = m.group()
         if len(run) < LEAST_DIGITS:
             continue
-        parts = [(c.start(), c.end(), sum(map(str.isdigit, c.group()))) for c in CHUNK.finditer(run)]
+        parts = [(*c.span(), len(g) if (g := c.group()).isdigit() else sum(map(str.isdigit, g))) for c in CHUNK.finditer(run)]
         if sum(p[2] for p in parts) < LEAST_DIGITS:
             continue
         plain, base = "(" not in run and ")" not in run, m.start()
@@ -208,16 +208,18 @@ def _names(text: str, found: set[tuple[int, int, str]]) -> None:
             if led:
                 found.add((led.start(), m.end(), "name"))
             continue
-        parts = [(p.start(), p.end(), p.group()) for p in PIECE.finditer(run)]
+        parts = [(*p.span(), p.group()) for p in PIECE.finditer(run)]
+        low = [p[2].casefold().rstrip(".") for p in parts]
         if base and (w := text[max(0, base - 8) : base].split()) and w[-1] in PARTICLE_WORDS and (p := LED_BY.search(text, max(0, base - 12), base)) and _titled(text, p.start()):
             found.update((p.start(), base + e, "name") for _, e, last in parts[:3] if not last.endswith("."))
         for i, (s, _, first) in enumerate(parts):
-            alone = not i or CUE.get(parts[i - 1][2].casefold().rstrip(".")) in ("title", "person") or first.casefold() in GIVEN
-            if i and s - parts[i - 1][1] > 2 and CUE.get(parts[i - 1][2].casefold().rstrip(".")) == "title":  # with the particle that stands before
+            cue, given = CUE.get(low[i - 1]) if i else None, low[i] in GIVEN
+            alone = not i or given or cue in ("title", "person")
+            if cue == "title" and s - parts[i - 1][1] > 2:  # with the particle that stands before
                 found.update((base + parts[i - 1][1] + 1, base + e, "name") for _, e, last in parts[i : i + 3] if not last.endswith("."))
             for _, e, last in parts[i + (not alone) : i + 5]:
                 if not last.endswith(".") or INITIAL_END.search(last):
-                    if e - s == len(first) and i == 0 and first.casefold() not in GIVEN:
+                    if i == 0 and not given and e - s == len(first):
                         continue
                     found.add((base + s, base + e, "name"))
     if not text.isascii():
@@ -269,7 +271,6 @@ class Around:
         self.memo = {} if memo is None else memo
         self.lefts: dict[int, tuple[list[str], str, str, dict[str, float]]] = {}
         self.rights: dict[int, tuple[list[str], dict[str, float]]] = {}
-        self.numbers: dict[tuple[int, int], tuple[str, str, str, str, bool]] = {}
 
     def left(self, start: int) -> tuple[list[str], str, str, dict[str, float]]:
         """Features of what stands before, the nearest cue, whether a sentence begins, and room for scores per kind."""
@@ -307,17 +308,13 @@ class Around:
 
     def number(self, start: int, end: int) -> tuple[str, str, str, str, bool]:
         """All that the features of a number depend on: its shape, how it begins, the nearest cue, what it continues and goes on with."""
-        got = self.numbers.get((start, end))
-        if got is not None:
-            return got
         text = self.text
         one, two = text[max(0, start - 1) : start], text[max(0, start - 2) : max(0, start - 1)]
         joined = "code" if one in ("-", "/", ".", "–") and two.isalnum() else "number" if (one if one.strip() else two).isdigit() else ""
         s = text[start:end]
         c = s[0]
         head = c if c in "+(" else "00" if s.startswith("00") else "0" if c == "0" else "1-" if s.startswith("1-") else "A" if c.isalpha() else "d"
-        got = self.numbers[(start, end)] = s.translate(SHAPES), head, self.left(start)[1], joined, NUMBER_AFTER.match(text, end, end + 4) is not None
-        return got
+        return s.translate(SHAPES), head, self.left(start)[1], joined, NUMBER_AFTER.match(text, end, end + 4) is not None
 
     def whole(self, start: int, end: int, kind: str) -> list[str]:
         """Features of the whole span with its surroundings."""
@@ -327,11 +324,12 @@ class Around:
             pieces = PIECE.findall(s) or [s]
             shape = _name_shape(s, pieces)
             low = [p.casefold().rstrip(".") for p in pieces]
-            around = [c for c in text[max(0, start - 16) : start] + text[end : end + 16] if c.isalpha()]
+            around = text[max(0, start - 16) : start] + text[end : end + 16]
+            letters = sum(map(str.isalpha, around))
             out = ["b", f"s={shape}", f"s={shape}&near={near}", f"n={len(pieces)}", f"first={low[0]}", f"last={low[-1]}", f"f3={low[0][-3:]}", f"e3={low[-1][-3:]}"]
             out += [f"lex={CUE[w]}" for w in low if w in KNOWN_CUES]
             out += [f"caps={sum(p.isupper() and len(p) > 2 for p in pieces)}/{min(3, len(pieces))}", f"short={any(p.isupper() and 2 <= len(p) <= 4 for p in pieces)}"]
-            out.append(f"around={bool(around) and sum(map(str.isupper, around)) > 0.8 * len(around)}")
+            out.append(f"around={letters > 0 and sum(map(str.isupper, around)) > 0.8 * letters}")
             out.append(f"given={''.join('y' if w in GIVEN else 'n' for w in low[:3])}")
             if any(w in STREET_SET for w in low):
                 out.append("street")
@@ -379,7 +377,7 @@ class SegmentCRF:
     def __init__(self, weights: dict[str, float] | None = None):
         self.w = {} if weights is None else weights
         self.by_kind: dict[str, dict[str, float]] | None = None
-        self.numbers: dict[tuple, float] = {}
+        self.numbers: dict[str, dict[tuple, float]] = {"phone": {}, "id_number": {}}
         self.memo: dict[tuple, tuple] = {}
 
     def _kinds(self) -> dict[str, dict[str, float]]:
@@ -410,7 +408,7 @@ class SegmentCRF:
             self.by_kind = self._kinds()
         if len(self.memo) > 200_000:
             self.memo.clear()
-        around, out, numbers = Around(text, self.memo), [], self.numbers
+        around, out, at, number = Around(text, self.memo), [], None, ()
         for start, end, kind in cs:
             get = self.by_kind[kind].get
             fs, _, _, known = around.left(start)
@@ -422,12 +420,14 @@ class SegmentCRF:
             if right is None:
                 right = known[kind] = sum([get(f, 0.0) for f in fs])
             if kind in ("phone", "id_number"):
-                key = (kind, *around.number(start, end))
-                whole = numbers.get(key)
+                if at != (start, end):  # a phone number comes after the identity number of the same place
+                    at, number = (start, end), around.number(start, end)
+                numbers = self.numbers[kind]
+                whole = numbers.get(number)
                 if whole is None:
                     if len(numbers) > 200_000:
                         numbers.clear()
-                    whole = numbers[key] = sum([get(f, 0.0) for f in _number_features(*key[1:])])
+                    whole = numbers[number] = sum([get(f, 0.0) for f in _number_features(*number)])
             else:
                 whole = sum([get(f, 0.0) for f in around.whole(start, end, kind)])
             out.append(left + right + whole)
