@@ -346,12 +346,10 @@ STREAM_SQL = r"SELECT uid, max_by(csv_row, csv_row) AS csv_row, max_by(code, csv
 @R.query("q_stream_latest", STREAM_SQL)
 def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest row per patient, through Structured Streaming: file source, foreachBatch merge, checkpoint."""
-    import uuid
-
-    from casegrain.session import work_dir
+    from casegrain.session import temporary_root
     from casegrain.streaming import ingest
 
-    path, place = f"{sf_dir}/patients.parquet", f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
+    path, place = f"{sf_dir}/patients.parquet", temporary_root(spark, "stream")
     stream = ingest.patient_stream(spark, f"{path}*", spark.read.parquet(path).schema).select("uid", "csv_row", "code")
     ingest.merge_latest(stream, f"{place}/target", "uid", "csv_row", f"{place}/checkpoint").awaitTermination()
     return ingest.latest(spark, f"{place}/target").select("uid", "csv_row", "code")

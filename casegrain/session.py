@@ -47,6 +47,13 @@ def work_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def temporary_root(spark: SparkSession, label: str) -> str:
+    """The name of a folder of its own in the shared folder; it is removed at the end of the driver's process."""
+    root = f"{work_dir(spark)}/casegrain-{label}-{uuid.uuid4().hex}"
+    _roots.append((spark, root))
+    return root
+
+
 class Tables:
     """Materialised tables of one operator run, in the shared folder.
 
@@ -56,9 +63,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{work_dir(spark)}/casegrain-{label}-{uuid.uuid4().hex}"
+        self.root = temporary_root(spark, label)
         self.n = 0
-        _roots.append((spark, self.root))
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.n += 1
@@ -83,8 +89,10 @@ class Tables:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder of any Hadoop file system; a path that is not there is left."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    jvm = spark._jvm
+    live = spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(live.sc().hadoopConfiguration() if live else jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
 
 
 _roots: list[tuple[SparkSession, str]] = []
@@ -96,8 +104,7 @@ def clean_up() -> None:
     while _roots:
         spark, root = _roots.pop()
         try:
-            if spark.sparkContext._jsc is not None:
-                remove(spark, root)
+            remove(spark, root)
         except Exception:  # noqa: BLE001, S112  the session may be gone
             continue
 
