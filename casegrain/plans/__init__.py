@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["reference_queries", "cohort_queries", "dataset_queries", "run_queries", "evidence_queries"]
+MODULES = ["reference_queries", "cohort_queries", "dataset_queries", "run_queries", "evidence_queries", "source_queries"]
 
 
 def all_registries() -> list:
