@@ -16,7 +16,7 @@ from casegrain.operators import merge
 from casegrain.plans.dataset_queries import latest, latest_sql
 from casegrain.plans.registry import Registry
 from casegrain.session import table, temporary_root
-from casegrain.sources import artifacts, files
+from casegrain.sources import artifacts, files, jats
 
 R = Registry()
 
@@ -97,3 +97,36 @@ def q_canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of rows as canonical JSON: keys in order, nulls written, no blanks."""
     d = table(spark, sf_dir, "pair_descriptions").select("record_index", "pair_id", "anatomy")
     return d.select(F.sha2(artifacts.canonical_rows(d), 256).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _tag(name: str, c) -> F.Column:
+    text = F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return F.concat(F.lit(f"<{name}>"), text, F.lit(f"</{name}>"))
+
+
+def collapsed_sql(c: str) -> str:
+    return f"trim(regexp_replace(coalesce({c}, ''), '[\\s\\p{{Z}}]+', ' ', 'g'))"
+
+
+@R.query("q_jats_figures", f"""WITH c AS (SELECT DISTINCT patient_uid, caption_id, coalesce(caption, '') AS caption, coalesce(image_path, '') AS image_path FROM captions)
+    SELECT patient_uid, CAST(row_number() OVER (PARTITION BY patient_uid ORDER BY caption_id, caption, image_path) AS INT) AS number, {collapsed_sql('caption')} AS caption, image_path AS href FROM c""")
+def q_jats_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with one figure per caption record, read back: running number, caption and the reference to its image."""
+    c = table(spark, sf_dir, "captions").select("patient_uid", "caption_id", F.coalesce("caption", F.lit("")).alias("caption"), F.coalesce("image_path", F.lit("")).alias("image_path")).distinct()
+    fig = lambda f: F.concat(F.lit("<fig><caption>"), _tag("p", f["caption"]), F.lit('</caption><graphic xlink:href="'), F.replace(f["image_path"], F.lit("&"), F.lit("&amp;")), F.lit('"/></fig>'))
+    g = c.groupBy("patient_uid").agg(F.array_sort(F.collect_list(F.struct("caption_id", "caption", "image_path"))).alias("fs"))
+    xml = F.concat(F.lit('<article xmlns:xlink="http://www.w3.org/1999/xlink"><front/><body>'), F.array_join(F.transform("fs", fig), ""), F.lit("</body></article>"))
+    files_made = g.select("patient_uid", xml.alias("content"))
+    figures = jats.read_articles(files_made, "patient_uid", "content").select("patient_uid", F.explode("figures").alias("f"))
+    return figures.select("patient_uid", "f.number", "f.caption", F.coalesce(F.get("f.hrefs", F.lit(0)), F.lit("")).alias("href"))
+
+
+@R.query("q_jats_metadata", f"SELECT patient_uid, {collapsed_sql('title')} AS title, {collapsed_sql('case_description')} AS abstract, {collapsed_sql('journal_title')} AS journal, '10.5555/' || patient_uid AS doi FROM {LIVE_CASES}")
+def q_jats_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, abstract, journal and identifier of every live case, through an article and back."""
+    live = latest(spark, sf_dir, "cases", "patient_uid")
+    front = F.concat(
+        F.lit("<article><front><journal-meta>"), _tag("journal-title", F.col("journal_title")), F.lit('</journal-meta><article-meta><article-id pub-id-type="doi">10.5555/'), "patient_uid", F.lit("</article-id><title-group>"), _tag("article-title", F.col("title")),
+        F.lit("</title-group><abstract>"), _tag("p", F.col("case_description")), F.lit("</abstract></article-meta></front><body/></article>"),
+    )
+    return jats.read_articles(live.select("patient_uid", front.alias("content")), "patient_uid", "content").select("patient_uid", "title", "abstract", "journal", "doi")
