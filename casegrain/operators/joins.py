@@ -20,12 +20,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: l
 
     Each row of ``right`` is copied once per salt, so a key with a third of all rows of ``left`` puts about 1/48 of them into a
     task. For inner, left, left_semi and left_anti joins; null keys match nothing, as in any equi-join.
+
+    Both sides are always sorted and merged: Spark takes the copies for no larger than ``right`` itself, so by its own choice it
+    would send ``salts`` times its broadcast threshold, as compressed in files, through the driver.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
     a = left.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     b = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return a.join(b, [*keys, "__salt"], how).drop("__salt")
+    return a.join(b.hint("merge"), [*keys, "__salt"], how).drop("__salt")
 
 
 def heavy_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: float = 0.005, fewest: int = 100_000) -> DataFrame:

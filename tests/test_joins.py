@@ -11,6 +11,16 @@ def test_same_rows_as_a_plain_join(spark, how):
     assert sorted(map(tuple, salted_join(left, right, ["k"], ["id"], how).collect()), key=repr) == plain
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_copies_are_not_broadcast(spark, tmp_path, how):
+    spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int").write.parquet(f"{tmp_path}/right")
+    left, right = spark.createDataFrame([(i, f"k{i % 60}") for i in range(300)], "n int, k string"), spark.read.parquet(f"{tmp_path}/right")
+    plain = sorted(map(str, left.join(right, ["k"], how).collect()))
+    for out in (salted_join(left, right, ["k"], ["n"], how), small_join(left, right, ["k"], ["n"], how, most_bytes=1)):
+        assert sorted(map(str, out.collect())) == plain
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_other_kinds_are_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
